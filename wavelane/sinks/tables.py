@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from wavelane.session import shared_dir
 
+# A folder per patient and day suits few patients with much data each; with very many patients, pass
+# just the date as ``partition_by``, or the table becomes many tiny files.
 PARTITION_COLUMNS = ("patient_id", "event_date")
 
 

@@ -28,7 +28,7 @@ class FanOut:
 
     Safe to replay. A file table keeps the batch number as its last partition level, and a batch replaces
     just its own folders; Delta skips a batch it has seen. The state that produced a batch is versioned,
-    so a replay has the same rows. ``files_per_folder`` spreads a busy patient's rows over that many
+    so a replay has the same rows. ``files_per_folder`` spreads a busy folder's rows over that many
     write tasks.
     """
 
@@ -39,16 +39,18 @@ class FanOut:
         fmt: str = "parquet",
         app_id: str = "wavelane-monitor",
         files_per_folder: int = 4,
+        partition_by: Sequence[str] = PARTITION_COLUMNS,
     ) -> None:
         self.features_path = features_path
         self.alerts_path = alerts_path
         self.fmt = fmt
         self.app_id = app_id
         self.files_per_folder = files_per_folder
+        self.partition_by = tuple(partition_by)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spread = F.pmod(F.xxhash64("channel", "window_start"), F.lit(self.files_per_folder))
-        batch = batch.repartition(*PARTITION_COLUMNS, spread).persist(StorageLevel.MEMORY_AND_DISK)
+        batch = batch.repartition(*self.partition_by, spread).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self._write(batch.drop("alert_reason"), self.features_path, batch_id)
             self._write(alerts_only(batch), self.alerts_path, batch_id)
@@ -57,13 +59,13 @@ class FanOut:
 
     def _write(self, rows: DataFrame, path: str, batch_id: int) -> None:
         if self.fmt == "delta":
-            writer = rows.write.format("delta").mode("append").partitionBy(*PARTITION_COLUMNS)
+            writer = rows.write.format("delta").mode("append").partitionBy(*self.partition_by)
             writer.option("txnAppId", self.app_id).option("txnVersion", batch_id).save(path)
             return
         numbered = rows.withColumn(BATCH_COLUMN, F.lit(batch_id))
         numbered.write.format(self.fmt).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
-        ).partitionBy(*PARTITION_COLUMNS, BATCH_COLUMN).save(path)
+        ).partitionBy(*self.partition_by, BATCH_COLUMN).save(path)
 
 
 def start_monitor(
@@ -76,6 +78,7 @@ def start_monitor(
     state_partitions: int | None = None,
     drain: bool = False,
     provider: str | None = None,
+    partition_by: Sequence[str] = PARTITION_COLUMNS,
 ) -> StreamingQuery:
     """Start (or resume from ``checkpoint``) the monitor; ``drain`` stops it when the input is used up.
 
@@ -92,7 +95,7 @@ def start_monitor(
     previous = {key: session.conf.get(key, None) for key in settings}
     writer = (
         live_features(messages, params)
-        .writeStream.foreachBatch(FanOut(features_path, alerts_path, fmt))
+        .writeStream.foreachBatch(FanOut(features_path, alerts_path, fmt, partition_by=partition_by))
         .option("checkpointLocation", checkpoint)
     )
     if drain:

@@ -27,6 +27,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Frequencies of the spectrum, in cycles per second: one to sixteen cycles per window.
 HERTZ = tuple(cycles / (7 * DAY) for cycles in range(1, 17))
 
+# Many patients with few rows each: tables are laid out by date.
+BY_DATE = ("event_date",)
+
 FEATURE_VALUES = ("mean_v", "stddev_v", "min_v", "max_v")
 READING = ("patient_id", "timestamp_ms", "sample_index", "channel", "voltage")
 
@@ -251,7 +254,7 @@ def annotation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All features appended to a partitioned table and read back."""
     path = shared_dir(spark, "features")
-    sinks.append_table(inputs.features(spark, sf_dir), path)
+    sinks.append_table(inputs.features(spark, sf_dir), path, partition_by=BY_DATE)
     stored = sources.read_table(spark, path)
     return _rounded(stored, *FEATURE_VALUES)
 
@@ -259,8 +262,8 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conditional_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of the stored features after the windows with spikes are deleted."""
     path = shared_dir(spark, "features")
-    sinks.append_table(inputs.features(spark, sf_dir), path)
-    sinks.delete_where(spark, path, F.col("spike_count") > 0)
+    sinks.append_table(inputs.features(spark, sf_dir), path, partition_by=BY_DATE)
+    sinks.delete_where(spark, path, F.col("spike_count") > 0, partition_by=BY_DATE)
     return _rounded(sources.read_table(spark, path), *FEATURE_VALUES)
 
 
@@ -288,6 +291,7 @@ def _monitored(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         WATCH,
         state_partitions=spark.sparkContext.defaultParallelism,
         drain=True,
+        partition_by=BY_DATE,
     )
     query.awaitTermination()
     return paths["features"], paths["alerts"]
