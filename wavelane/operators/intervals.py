@@ -16,10 +16,10 @@ a shuffle unless AQE measures one small enough to broadcast; AQE also splits hot
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavelane.functions import floor_to, micros, overlaps
+from wavelane.functions import overlaps
 
 LEVELS = 3
 LEVEL_STEP = 64
@@ -36,37 +36,41 @@ def _grid(cell_seconds: int, longest: int | None) -> tuple[list[int], list[int]]
     return widths, widths
 
 
+def _micros(name: str) -> str:
+    return f"unix_micros(cast(`{name}` as timestamp))"
+
+
+def _cell(moment: str, width: int) -> str:
+    return f"({moment} - pmod({moment}, {width}L))"
+
+
 def _with_own_cell(left: DataFrame, span: Span, widths: list[int], bounded: bool) -> DataFrame:
-    start, end = (micros(F.col(name)) for name in span)
-    level, cell = F.lit(len(widths)), F.lit(0).cast("bigint")
+    start, end = map(_micros, span)
     if bounded:
-        level, cell = F.lit(0), floor_to(start, widths[0])
-    else:
-        for number, width in reversed(list(enumerate(widths))):
-            fits = end - start <= width
-            level = F.when(fits, number).otherwise(level)
-            cell = F.when(fits, floor_to(start, width)).otherwise(cell)
-    return left.withColumns({"__level": level, "__cell": cell})
-
-
-def _at_level(level: int, cells: Column) -> Column:
-    return F.transform(
-        cells, lambda cell: F.struct(F.lit(level).alias("__level"), cell.alias("__cell"))
+        return left.withColumns({"__level": F.lit(0), "__cell": F.expr(_cell(start, widths[0]))})
+    fits = [f"when {end} - {start} <= {width}L then" for width in widths]
+    levels = " ".join(f"{fit} {number}" for number, fit in enumerate(fits))
+    cells = " ".join(f"{fit} {_cell(start, width)}" for fit, width in zip(fits, widths))
+    return left.withColumns(
+        {
+            "__level": F.expr(f"case {levels} else {len(widths)} end"),
+            "__cell": F.expr(f"case {cells} else 0L end"),
+        }
     )
 
 
 def _with_reachable_cells(
     right: DataFrame, span: Span, widths: list[int], reach: list[int], bounded: bool
 ) -> DataFrame:
-    start, end = (micros(F.col(name)) for name in span)
+    start, end = map(_micros, span)
     listed = []
     for number, (width, longest) in enumerate(zip(widths, reach)):
-        first, last = floor_to(start - longest, width), floor_to(end, width)
-        cells = F.when(first <= last, F.sequence(first, last, F.lit(width)))
-        listed.append(_at_level(number, F.coalesce(cells, F.array().cast("array<bigint>"))))
+        first, last = _cell(f"({start} - {longest}L)", width), _cell(end, width)
+        cells = f"if({first} <= {last}, sequence({first}, {last}, {width}L), cast(array() as array<bigint>))"
+        listed.append(f"transform({cells}, c -> struct({number} as __level, c as __cell))")
     if not bounded:
-        listed.append(_at_level(len(widths), F.array(F.lit(0).cast("bigint"))))
-    return right.select("*", F.inline(F.concat(*listed)))
+        listed.append(f"array(struct({len(widths)} as __level, 0L as __cell))")
+    return right.select("*", F.expr(f"inline(concat({', '.join(listed)}))"))
 
 
 def overlap_join(

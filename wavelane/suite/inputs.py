@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavelane.operators.features import alerts_only, label_alerts, window_features
+from wavelane.operators.series import number_within, time_block
 from wavelane.params import MonitorParams
 from wavelane.session import configure
 
@@ -31,8 +32,18 @@ WATCH = MonitorParams(
 )
 
 
+# Declared, so that planning opens no file.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return configure(spark).read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,8 +88,6 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings of a day and channel numbered in time order; the day is the message time."""
-    from wavelane.operators.series import number_within, time_block
-
     day = F.date_trunc("day", F.col("event_time").cast("timestamp"))
     dated = readings(spark, sf_dir).withColumn("timestamp_ms", F.unix_millis(day))
     numbered = number_within(
