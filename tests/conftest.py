@@ -1,10 +1,15 @@
+import os
 import sys
+import time
 from pathlib import Path
 
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+os.environ["TZ"] = "UTC"  # literal datetimes in tests are UTC
+time.tzset()
+
 from wavelane import build_session  # noqa: E402
 
 
