@@ -19,8 +19,10 @@ def spark(tmp_path_factory):
     session = build_session(
         "wavelane-tests",
         "local[8]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
+        spark__python__sql__dataFrameDebugging__enabled="false",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
         spark__checkpoint__dir=str(shared),
         spark__sql__warehouse__dir=str(shared / "warehouse"),

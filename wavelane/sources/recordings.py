@@ -8,14 +8,12 @@ Files are the unit of the scan; after it the data travels as one row per record
 fit the 2 GiB limit of a binary column.
 """
 
-from __future__ import annotations
-
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, ShortType
 
 from wavelane.functions import suffix_repeats
 from wavelane.sources.annotations import PATIENT_IN_FILE_NAME, folder_of
@@ -151,10 +149,15 @@ def recording_headers(files: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf("array<smallint>")
-def _little_endian_shorts(chunks: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for chunk in chunks:
-        yield chunk.map(lambda raw: np.frombuffer(raw, dtype="<i2"))
+def _shorts(raw: Column) -> Column:
+    """Little-endian 16-bit integers of a binary column. Nested, so that it is sent to workers by value
+    and they need not have this package."""
+
+    @F.pandas_udf(ArrayType(ShortType()))
+    def decode(chunks: pd.Series) -> pd.Series:
+        return chunks.map(lambda chunk: np.frombuffer(chunk, dtype="<i2"))
+
+    return decode(raw)
 
 
 def recording_samples(files: DataFrame) -> DataFrame:
@@ -185,7 +188,7 @@ def recording_samples(files: DataFrame) -> DataFrame:
         "samples",
         "gain",
         "bias",
-        _little_endian_shorts(
+        _shorts(
             F.substring(F.col("body"), F.col("offset") + 1, F.col("samples") * 2)
         ).alias("digital"),
     )
