@@ -85,18 +85,18 @@ def test_join_equals_brute_force_near_cell_borders(spark, alerts, labels):
     check_against_brute_force(spark, alerts, labels)
 
 
-def test_a_side_is_broadcast_only_when_counted_small(spark):
+def test_a_side_is_broadcast_only_when_measured_small(spark):
     left = alerts_frame(spark, [("a", 0, 5)])
     right = labels_frame(spark, random_spans(1, 30))
 
-    def plan(rows):
-        joined = join(left, right, broadcast_rows=rows)
+    def plan(size):
+        joined = join(left, right, broadcast_bytes=size)
         return joined._jdf.queryExecution().executedPlan().toString()
 
-    assert "BroadcastHashJoin" in plan(10_000_000)
-    assert "BroadcastHashJoin" not in plan(5)
-    assert "SortMergeJoin" in plan(5)
-    assert join(left, right, broadcast_rows=5).count() == join(left, right).count()
+    assert "BroadcastHashJoin" in plan(1 << 30)
+    assert "BroadcastHashJoin" not in plan(1000)
+    assert "SortMergeJoin" in plan(1000)
+    assert join(left, right, broadcast_bytes=1000).count() == join(left, right).count()
 
 
 def test_touching_intervals_do_not_overlap(spark):
@@ -119,9 +119,9 @@ def test_slice_keeps_thirty_seconds_around_an_interval(spark):
         [("a", at(t), float(t)) for t in times], "patient_id string, event_time timestamp, t double"
     )
     labels = labels_frame(spark, [("a", 100, 140), ("b", 0, 1000)])
-    for rows in (None, 1000):
+    for size in (None, 100_000):
         got = slice_around(
-            readings, labels, ("seizure_start_ms", "seizure_end_ms"), 30, CELL, broadcast_rows=rows
+            readings, labels, ("seizure_start_ms", "seizure_end_ms"), 30, CELL, broadcast_bytes=size
         )
         assert sorted(r.t for r in got.collect()) == [70, 100, 150, 169.999]
         assert got.columns == [

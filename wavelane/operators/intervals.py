@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from wavelane.functions import overlaps
 
@@ -82,14 +83,14 @@ def overlap_join(
     how: str = "inner",
     key: str = "patient_id",
     longest_micros: int | None = None,
-    broadcast_rows: int | None = None,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Rows of equal ``key`` whose half-open spans share time; ``how`` is inner, left_semi or left_anti.
 
     Inner results carry the left columns and the right ones except ``key``; other names must differ.
     Any duration is handled on both sides. ``longest_micros`` may state that left rows are never
-    longer (samples, for instance); then one grid level is enough. ``broadcast_rows`` asks for a
-    broadcast of the listed right side if a count finds at most that many rows, else shuffles.
+    longer (samples, for instance); then one grid level is enough. ``broadcast_bytes`` asks for a
+    broadcast of the listed right side if it measures at most that, else shuffles.
     """
     bounded = longest_micros is not None
     widths, reach = _grid(cell_seconds, longest_micros)
@@ -100,8 +101,8 @@ def overlap_join(
     listed = listed.withColumnsRenamed(
         {name: f"__right_{name}" for name in (key, "__level", "__cell")}
     )
-    if broadcast_rows is not None:
-        listed = broadcast_if_small(listed, broadcast_rows)
+    if broadcast_bytes is not None:
+        listed = broadcast_if_small(listed, broadcast_bytes)
     matching = (
         (F.col(key) == F.col(f"__right_{key}"))
         & (F.col("__level") == F.col("__right___level"))
@@ -112,14 +113,18 @@ def overlap_join(
     return joined.drop("__level", "__cell", "__right___level", "__right___cell", f"__right_{key}")
 
 
-def broadcast_if_small(side: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only if the side is counted to have at most ``max_rows`` rows.
+def broadcast_if_small(side: DataFrame, max_bytes: int) -> DataFrame:
+    """Hint a broadcast only if the side's values measure at most ``max_bytes``.
 
-    The count stops early on a larger side, which then joins by shuffle.
+    One aggregate measures eight bytes per value plus the length of strings. It reads no more rows than
+    could fit, so that a large side is found out early; that one joins by shuffle.
     """
-    if side.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(side)
-    return side
+    fixed = 8 * len(side.columns)
+    texts = [F.octet_length(f.name) for f in side.schema if isinstance(f.dataType, StringType)]
+    row = sum((F.coalesce(length, F.lit(0)) for length in texts), F.lit(fixed))
+    probe = side.limit(max_bytes // fixed + 1)
+    measured = probe.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]
+    return F.broadcast(side) if measured <= max_bytes else side
 
 
 def slice_around(
@@ -128,7 +133,7 @@ def slice_around(
     labelled_span: Span,
     pad_seconds: int,
     cell_seconds: int,
-    broadcast_rows: int | None = 500_000,
+    broadcast_bytes: int | None = 64 * 1024**2,
 ) -> DataFrame:
     """Readings from ``pad_seconds`` before a labelled interval to as long after its end.
 
@@ -148,6 +153,6 @@ def slice_around(
         ("__from", "__to"),
         cell_seconds,
         longest_micros=1,
-        broadcast_rows=broadcast_rows,
+        broadcast_bytes=broadcast_bytes,
     )
     return joined.drop("__until", "__from", "__to")

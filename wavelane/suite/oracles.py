@@ -292,6 +292,29 @@ timed as (
         """select patient_id, patient_id || '_' || recording_file as recording_file,
         seizure_start_ms, seizure_end_ms from annotations""",
     ),
+    "recording_headers": _select(
+        READINGS,
+        """select patient_id || '_' || event_id as recording_file, patient_id,
+        date_trunc('second', event_time) as started_at, cast(2 as bigint) as records,
+        1.0::double as sampling_rate, 2 as signals from readings""",
+    ),
+    "recording_samples": _select(
+        READINGS
+        + """,
+steps as (
+  select patient_id || '_' || event_id as recording_file, channel,
+         epoch_us(event_time) // 1000000 * 1000 as started_ms, floor(voltage * 50) as step
+  from readings
+)""",
+        """select recording_file, channel || '-' || signal as channel, cast(second as integer) as sample_index,
+        started_ms + 1000 * second as timestamp_ms,
+        round((1 - 2 * second) * (case when signal = 0 then step else floor(step / 2) end) * 0.02::double, 6)
+          as millivolts
+        from steps, range(2) as s(second), range(2) as i(signal)""",
+    ),
+    "staged_mart": _select(
+        LABELLED + ANNOTATIONS + PAIRS + MARTS, "select * from patient_summary"
+    ),
     "table_roundtrip": _select(FEATURES, f"select {_ALERT_COLUMNS} from features"),
     "conditional_delete": _select(
         FEATURES, f"select {_ALERT_COLUMNS} from features where spike_count = 0"

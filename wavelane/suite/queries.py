@@ -10,13 +10,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavelane.operators import quality, readings as wire, series, signal
+from wavelane.operators import features, quality, readings as wire, series, signal
 from wavelane.operators.intervals import overlap_join, slice_around
 from wavelane.plans import constraints, detection, marts
 from wavelane.session import shared_dir
 from wavelane.sinks import tables as sinks
 from wavelane.sources import annotations as summaries
 from wavelane.sources import messages as streams
+from wavelane.sources import recordings
 from wavelane.sources import tables as sources
 from wavelane.streaming import monitor
 from wavelane.suite import inputs
@@ -251,6 +252,80 @@ def annotation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A recording file's bytes per event: two signals of the same label in two records of one second.
+    The first signal holds the voltage in steps of 0.02 and its negative, the second those halved."""
+    steps = F.floor(F.col("voltage") * 50)
+
+    def field(value: object, width: int) -> Column:
+        text = value if isinstance(value, Column) else F.lit(str(value))
+        return F.rpad(text, width, " ")
+
+    def sample(value: Column) -> Column:
+        digits = F.lpad(F.hex(value.bitwiseAND(0xFFFF)), 4, "0")
+        return F.unhex(F.concat(F.substring(digits, 3, 2), F.substring(digits, 1, 2)))
+
+    half = F.floor(steps / 2)
+    header = [
+        field("0", 168),
+        F.date_format("event_time", "dd.MM.yyHH.mm.ss"),
+        field(256 * 3, 52),
+        field(2, 8),
+        field(1, 8),
+        field(2, 4),
+        *[field(F.col("channel"), 16)] * 2,
+        field("", 160),
+        *[field("mV", 8)] * 2,
+        *[field(value, 8) for value in (-655.36, -655.36, 655.34, 655.34)],
+        *[field(value, 8) for value in (-32768, -32768, 32767, 32767)],
+        field("", 160),
+        *[field(1, 8)] * 2,
+        field("", 64),
+    ]
+    body = [sample(value) for value in (steps, half, -steps, -half)]
+    return inputs.readings(spark, sf_dir).select(
+        F.concat(F.col("patient_id"), F.lit("_"), F.col("event_id").cast("string")).alias(
+            "recording_file"
+        ),
+        F.concat(F.concat(*header).cast("binary"), *body).alias("content"),
+    )
+
+
+def recording_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    headers = recordings.recording_headers(_recordings(spark, sf_dir))
+    return headers.select(
+        "recording_file",
+        "patient_id",
+        F.col("started_at").cast("timestamp_ntz").alias("started_at"),
+        "records",
+        "sampling_rate",
+        F.size("signals").alias("signals"),
+    )
+
+
+def recording_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = recordings.recording_samples(_recordings(spark, sf_dir))
+    return samples.select(
+        "recording_file",
+        "channel",
+        "sample_index",
+        "timestamp_ms",
+        F.round(F.col("voltage") * 1000, 6).alias("millivolts"),
+    )
+
+
+def staged_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features and alerts stored, staged as views, summarised by SQL, stored as a mart and read."""
+    base = shared_dir(spark, "staged")
+    labelled = inputs.labelled(spark, sf_dir)
+    sinks.replace_table(labelled.drop("alert_reason"), f"{base}/features")
+    sinks.replace_table(features.alerts_only(labelled), f"{base}/alerts")
+    sources.stage(spark, {"stg_features": f"{base}/features", "stg_alerts": f"{base}/alerts"})
+    summary = marts.patient_summary(spark.table("stg_features"), spark.sql("select * from stg_alerts"))
+    sinks.replace_table(summary, f"{base}/patient_summary")
+    return sources.read_table(spark, f"{base}/patient_summary")
+
+
 def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All features appended to a partitioned table and read back."""
     path = shared_dir(spark, "features")
@@ -333,6 +408,9 @@ QUERIES: dict[str, Query] = {
     "channel_normalise": channel_normalise,
     "channel_dedupe_suffix": channel_dedupe_suffix,
     "annotation_text": annotation_text,
+    "recording_headers": recording_headers,
+    "recording_samples": recording_samples,
+    "staged_mart": staged_mart,
     "table_roundtrip": table_roundtrip,
     "conditional_delete": conditional_delete,
     "stream_features": stream_features,
