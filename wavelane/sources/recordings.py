@@ -10,7 +10,7 @@ fit the 2 GiB limit of a binary column.
 
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, ShortType
@@ -48,10 +48,9 @@ def read_recordings(spark: SparkSession, path: str, glob: str = "*.edf") -> Data
     )
 
 
-def _text(offset: Column | int, width: int) -> Column:
+def _text(offset: Column | int, width: int, source: str = "content") -> Column:
     start = offset + 1 if isinstance(offset, int) else offset + F.lit(1)
-    piece = F.substring("content", start, width)
-    return F.trim(piece.cast("string"))
+    return F.trim(F.substring(source, start, width).cast("string"))
 
 
 def _number(field: tuple[int, int], kind: str) -> Column:
@@ -70,24 +69,27 @@ def recording_headers(files: DataFrame) -> DataFrame:
     """One row per recording: when it started, how it is laid out. Other columns are kept.
 
     Signals are ``signals``, an array of structs in file order, without text signals; sampling_rate is
-    that of the first.
+    that of the first. Only the head of the content is looked at, as a column of its own: array
+    functions take a copy of the binary they read at each use.
     """
-    kept = [name for name in files.columns if name != "content"]
-    main = files.select(
-        "*",
+    kept = files.columns
+    signal_count = _number(SIGNAL_COUNT, "int")
+    main = files.where(signal_count > 0).select(
+        *kept,
         _start_time().alias("started_at"),
         _number(HEADER_BYTES, "int").alias("header_bytes"),
         _number(RECORD_COUNT, "bigint").alias("records"),
         _number(RECORD_SECONDS, "double").alias("record_seconds"),
-        _number(SIGNAL_COUNT, "int").alias("signal_count"),
+        signal_count.alias("__count"),
+        F.substring("content", F.lit(1), MAIN_HEADER + SIGNAL_HEADER * signal_count).alias("__head"),
     )
+    indexes = F.sequence(F.lit(0), F.col("__count") - 1)
 
     def of_signal(field: tuple[int, int], index: Column) -> Column:
         offset, width = field
-        return _text(F.lit(MAIN_HEADER) + F.col("signal_count") * offset + index * width, width)
+        return _text(F.lit(MAIN_HEADER) + F.col("__count") * offset + index * width, width, "__head")
 
-    indexes = F.sequence(F.lit(0), F.col("signal_count") - 1)
-    sized = main.where("signal_count > 0").withColumns(
+    listed = main.withColumns(
         {
             "__labels": F.transform(indexes, lambda i: of_signal(LABEL, i)),
             "__samples": F.transform(
@@ -95,106 +97,114 @@ def recording_headers(files: DataFrame) -> DataFrame:
             ),
         }
     )
+    units = F.create_map(*[F.lit(x) for pair in UNITS.items() for x in pair])
 
-    def layout(index: Column) -> Column:
+    def signal(index: Column) -> Column:
         def number(field: tuple[int, int]) -> Column:
             return of_signal(field, index).cast("double")
 
-        unit = F.lower(of_signal(UNIT, index))
-        in_volts = F.coalesce(
-            F.element_at(
-                F.create_map(*[F.lit(x) for pair in UNITS.items() for x in pair]), unit
-            ),
-            F.lit(1.0),
-        )
+        in_volts = F.coalesce(F.element_at(units, F.lower(of_signal(UNIT, index))), F.lit(1.0))
         gain = (number(PHYSICAL_MAX) - number(PHYSICAL_MIN)) / (
             number(DIGITAL_MAX) - number(DIGITAL_MIN)
         )
-        before = F.aggregate(
-            F.slice("__samples", 1, index), F.lit(0), lambda total, samples: total + samples
-        )
+        bias = number(PHYSICAL_MIN) - number(DIGITAL_MIN) * gain
         return F.struct(
             F.element_at("__labels", index + 1).alias("label"),
             F.element_at("__samples", index + 1).alias("samples"),
-            (before * 2).alias("offset"),
+            _total(F.slice("__samples", 1, index)).alias("offset"),
             (gain * in_volts).alias("gain"),
-            ((number(PHYSICAL_MIN) - number(DIGITAL_MIN) * gain) * in_volts).alias("bias"),
+            (bias * in_volts).alias("bias"),
         )
 
-    laid_out = sized.withColumns(
+    described = listed.withColumns(
         {
-            "signals": F.filter(
-                F.transform(indexes, layout), lambda signal: signal["label"] != TEXT_SIGNAL
+            "__signals": F.filter(
+                F.transform(indexes, signal), lambda one: one["label"] != TEXT_SIGNAL
             ),
-            "record_bytes": 2
-            * F.aggregate("__samples", F.lit(0), lambda total, samples: total + samples),
+            "record_bytes": _total(F.col("__samples")) * 2,
         }
+    ).withColumn("__channels", F.col("__signals.label"))
+    named = F.zip_with(
+        "__signals",
+        suffix_repeats(F.col("__channels")),
+        lambda one, channel: one.withField("channel", channel),
     )
-    return laid_out.select(
-        *kept,
+    return described.select(
+        *[name for name in kept if name != "content"],
         F.regexp_extract("recording_file", PATIENT_IN_FILE_NAME, 1).alias("patient_id"),
         "started_at",
         "header_bytes",
         "records",
         "record_seconds",
-        (F.get("signals", F.lit(0))["samples"] / F.col("record_seconds")).alias("sampling_rate"),
-        F.transform(
-            F.arrays_zip(
-                suffix_repeats(F.col("signals.label")).alias("channel"), F.col("signals")
-            ),
-            lambda pair: pair["signals"].withField("channel", pair["channel"]),
-        ).alias("signals"),
+        (F.get("__signals", F.lit(0))["samples"] / F.col("record_seconds")).alias("sampling_rate"),
+        named.alias("signals"),
         "record_bytes",
-        *(["content"] if "content" in files.columns else []),
+        "content",
     )
 
 
-def _shorts(raw: Column) -> Column:
-    """Little-endian 16-bit integers of a binary column. Nested, so that it is sent to workers by value
-    and they need not have this package."""
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda total, number: total + number)
+
+
+def _with_shorts(records: DataFrame, binary: str) -> DataFrame:
+    """Replace a binary column, put last, by its little-endian 16-bit integers.
+
+    Works on whole Arrow batches without copying or looping: the bytes of a batch lie in one buffer.
+    The function is nested, so that it is sent to workers by value and they need not have this package.
+    """
+    schema = records.drop(binary).schema.add(binary, ArrayType(ShortType()))
 
-    @F.pandas_udf(ArrayType(ShortType()))
-    def decode(chunks: pd.Series) -> pd.Series:
-        return chunks.map(lambda chunk: np.frombuffer(chunk, dtype="<i2"))
+    def decode(batches):
+        for batch in batches:
+            raw = batch.column(batch.num_columns - 1).cast(pa.large_binary())
+            _, places, data = raw.buffers()
+            offsets = np.frombuffer(places, "<i8")[raw.offset : raw.offset + len(raw) + 1] // 2
+            values = np.frombuffer(data, "<i2", count=offsets[-1]) if data else np.empty(0, "<i2")
+            lists = pa.LargeListArray.from_arrays(offsets, values).cast(pa.list_(pa.int16()))
+            columns = [*batch.columns[:-1], lists]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return decode(raw)
+    return records.select(*schema.names).mapInArrow(decode, schema)
 
 
 def recording_samples(files: DataFrame) -> DataFrame:
     """All samples as readings in volts: one row per recording, channel and sample.
 
-    A file is cut into its records first, so what moves on is a record (a few kilobytes), never a file.
+    A file is cut into its records right after the scan, so what moves on is a record (a few kilobytes),
+    never a file. The outer generators keep Spark from inferring filters that would parse the headers a
+    second time.
     """
-    headers = recording_headers(files)
-    first = F.col("header_bytes") + F.lit(1)
-    records = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), F.col("records") - 1),
-        lambda n: F.struct(
-            n.alias("record"),
-            F.substring(
-                F.col("content"),
-                (first + n * F.col("record_bytes")).cast("int"),
-                F.col("record_bytes"),
-            ).alias("body"),
-        ),
-    )
+    headers = recording_headers(files).where("records > 0")
     described = ["patient_id", "recording_file", "started_at", "record_seconds"]
-    bodies = headers.where("records > 0").select(*described, "signals", F.inline(records))
-    per_signal = bodies.select(*described, "record", "body", F.inline("signals"))
-    chunks = per_signal.select(
+    numbered = headers.select(
+        *described,
+        "signals",
+        "content",
+        "header_bytes",
+        "record_bytes",
+        F.explode_outer(F.sequence(F.lit(0).cast("bigint"), F.col("records") - 1)).alias("record"),
+    )
+    begin = F.col("header_bytes") + F.col("record") * F.col("record_bytes") + 1
+    bodies = numbered.select(
+        *described,
+        "signals",
+        "record",
+        F.substring("content", begin.cast("int"), F.col("record_bytes")).alias("body"),
+    )
+    decoded = _with_shorts(bodies, "body")
+    chunks = decoded.select(*described, "record", "body", F.inline_outer("signals")).select(
         *described,
         "record",
         "channel",
         "samples",
         "gain",
         "bias",
-        _shorts(
-            F.substring(F.col("body"), F.col("offset") + 1, F.col("samples") * 2)
-        ).alias("digital"),
+        F.slice("body", F.col("offset") + 1, F.col("samples")).alias("digital"),
     )
     values = chunks.select(
-        *described, "record", "channel", "samples", "gain", "bias", F.posexplode("digital")
-    )
+        *described, "record", "channel", "samples", "gain", "bias", F.posexplode_outer("digital")
+    ).where("pos is not null")
     index = F.col("record") * F.col("samples") + F.col("pos")
     offset_ms = F.floor(index * 1000 * F.col("record_seconds") / F.col("samples"))
     stamped = values.select(
