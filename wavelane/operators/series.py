@@ -8,6 +8,8 @@ rows per block, are then ordered along the whole series.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,27 +56,35 @@ def find_gaps(
 
 
 def number_within(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, into: str
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    block: Column,
+    into: str,
+    total: str | None = None,
 ) -> DataFrame:
     """Number the rows of each key from 0 in ``order``, like ``row_number`` but block by block.
 
-    ``block`` must not decrease along ``order``; keys must not be null.
+    ``block`` must not decrease along ``order``. Null keys form a group of their own. ``total`` names a
+    column for the number of rows of the key.
     """
     keys = list(keys)
+    grouping = [*keys, "__block"]
     blocked = rows.withColumn("__block", block)
-    within = Window.partitionBy(*keys, "__block").orderBy(*order)
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy("__block")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    numbered = blocked.withColumn(
+        "__place", F.row_number().over(Window.partitionBy(*grouping).orderBy(*order)) - 1
     )
-    sizes = blocked.groupBy(*keys, "__block").agg(F.count("*").alias("__size"))
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = blocked.groupBy(*grouping).agg(F.count("*").alias("__size"))
     offsets = sizes.select(
-        *keys, "__block", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__offset")
-    )
-    numbered = blocked.withColumn("__place", F.row_number().over(within) - 1)
-    return (
-        numbered.join(offsets, [*keys, "__block"])
-        .withColumn(into, F.col("__offset") + F.col("__place"))
-        .drop("__block", "__place", "__offset")
+        *[F.col(name).alias(f"__of_{name}") for name in grouping],
+        F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__offset"),
+        F.sum("__size").over(whole).alias("__total"),
     )
+    same = [F.col(name).eqNullSafe(F.col(f"__of_{name}")) for name in grouping]
+    placed = numbered.join(offsets, reduce(and_, same))
+    counted = {into: F.col("__offset") + F.col("__place")}
+    if total:
+        counted[total] = F.col("__total")
+    return placed.select(*rows.columns, *[value.alias(name) for name, value in counted.items()])

@@ -83,11 +83,9 @@ def suffix_duplicates(labels: DataFrame, block_positions: int = 65_536) -> DataF
     Table form of ``suffix_repeats`` for label lists of any length.
     """
     block = F.floor(F.col("position") / block_positions)
-    numbered = number_within(labels, ["recording", "label"], ["position"], block, "repeat")
-    counts = labels.groupBy("recording", "label").agg(F.count("*").alias("occurrences"))
-    unique = F.when(
-        F.col("occurrences") > 1, F.concat_ws("-", "label", F.col("repeat").cast("string"))
-    ).otherwise(F.col("label"))
-    return numbered.join(counts, ["recording", "label"]).select(
-        "recording", "position", "label", unique.alias("channel")
+    numbered = number_within(
+        labels, ["recording", "label"], ["position"], block, "repeat", "occurrences"
     )
+    suffixed = F.concat("label", F.lit("-"), F.col("repeat").cast("string"))
+    unique = F.when(F.col("occurrences") > 1, suffixed).otherwise(F.col("label"))
+    return numbered.select("recording", "position", "label", unique.alias("channel"))
