@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,37 +28,50 @@ def false_positives(alerts: DataFrame, annotations: DataFrame, params: MonitorPa
     )
 
 
+def alert_spans(alerts: DataFrame) -> DataFrame:
+    """Distinct alert windows per patient with their number of alerts.
+
+    Channels that alert together share one row, so the joins below meet each window once.
+    """
+    return alerts.groupBy("patient_id", *ALERT_SPAN).agg(F.count("*").alias("alerts"))
+
+
+def _alerts_per_label(spans: DataFrame, annotations: DataFrame, params: MonitorParams) -> DataFrame:
+    pairs = matched_pairs(spans, annotations, params)
+    return pairs.groupBy(*LABEL_COLUMNS).agg(F.sum("alerts").alias("alerts"))
+
+
 def detected_seizures(alerts: DataFrame, annotations: DataFrame, params: MonitorParams) -> DataFrame:
     """Distinct labelled intervals that at least one alert shares time with."""
-    spans = alerts.select("patient_id", *ALERT_SPAN)
-    return matched_pairs(spans, annotations, params).select(*LABEL_COLUMNS).distinct()
+    return _alerts_per_label(alert_spans(alerts), annotations, params).select(*LABEL_COLUMNS)
 
 
 def detection_report(alerts: DataFrame, annotations: DataFrame, params: MonitorParams) -> DataFrame:
     """One row: detected and total intervals, false positives and alerts, both rates in percent.
 
-    Each count is a partial aggregate; a single sum brings the four of them together. A rate over nothing
-    is null.
+    All branches start from the same shuffle of the alerts into spans. Each count is a partial
+    aggregate; a single sum brings the four of them together. A rate over nothing is null.
     """
-    spans = alerts.select("patient_id", *ALERT_SPAN)
-    counts = ("detected", "total_seizures", "false_positives", "total_alerts")
-    counted = {
-        "detected": detected_seizures(spans, annotations, params),
-        "total_seizures": annotations,
-        "false_positives": false_positives(spans, annotations, params),
-        "total_alerts": spans,
+    spans = alert_spans(alerts)
+    alerts_in = F.coalesce(F.sum("alerts"), F.lit(0))
+    parts = {
+        "detected": _alerts_per_label(spans, annotations, params).agg(F.count_if(F.col("alerts") > 0)),
+        "total_seizures": annotations.agg(F.count("*")),
+        "false_positives": false_positives(spans, annotations, params).agg(alerts_in),
+        "total_alerts": spans.agg(alerts_in),
     }
-    parts = [
-        rows.agg(F.count("*").alias("__n")).select(
-            *[(F.col("__n") if name == counting else F.lit(0)).alias(name) for name in counts]
+    rows = [
+        part.toDF("__n").select(
+            *[(F.col("__n") if name == counted else F.lit(0)).alias(name) for name in parts]
         )
-        for counting, rows in counted.items()
+        for counted, part in parts.items()
     ]
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part)
-    return stacked.agg(*[F.sum(name).alias(name) for name in counts]).select(
-        *counts,
-        rate(F.col("detected"), F.col("total_seizures")).alias("detection_rate"),
-        rate(F.col("false_positives"), F.col("total_alerts")).alias("false_positive_rate"),
+    return (
+        reduce(DataFrame.unionByName, rows)
+        .agg(*[F.sum(name).alias(name) for name in parts])
+        .select(
+            *parts,
+            rate(F.col("detected"), F.col("total_seizures")).alias("detection_rate"),
+            rate(F.col("false_positives"), F.col("total_alerts")).alias("false_positive_rate"),
+        )
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wavelane.functions import percent_text, rate
 from wavelane.params import SPIKE_REASON, VARIANCE_REASON, MonitorParams
-from wavelane.plans.detection import false_positives, matched_pairs
+from wavelane.plans.detection import alert_spans, false_positives, matched_pairs
 
 
 def patient_summary(features: DataFrame, alerts: DataFrame) -> DataFrame:
@@ -44,7 +44,7 @@ def seizure_detection_rate(
 
     Patients without a match have no row. ``detection_report`` counts intervals instead.
     """
-    spans = alerts.select("patient_id", "window_start", "window_end")
+    spans = alert_spans(alerts)
     total = annotations.agg(F.count_distinct("seizure_start_ms", "patient_id").alias("n")).scalar()
     matched = (
         matched_pairs(spans, annotations, params)
@@ -54,7 +54,7 @@ def seizure_detection_rate(
     in_vain = (
         false_positives(spans, annotations, params)
         .groupBy("patient_id")
-        .agg(F.count("*").alias("__in_vain"))
+        .agg(F.sum("alerts").alias("__in_vain"))
     )
     return (
         matched.join(in_vain, "patient_id", "left")
