@@ -36,26 +36,25 @@ def alert_spans(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy("patient_id", *ALERT_SPAN).agg(F.count("*").alias("alerts"))
 
 
-def _alerts_per_label(spans: DataFrame, annotations: DataFrame, params: MonitorParams) -> DataFrame:
-    pairs = matched_pairs(spans, annotations, params)
-    return pairs.groupBy(*LABEL_COLUMNS).agg(F.sum("alerts").alias("alerts"))
+def _detected(spans: DataFrame, annotations: DataFrame, params: MonitorParams) -> DataFrame:
+    return matched_pairs(spans, annotations, params).select(*LABEL_COLUMNS).distinct()
 
 
 def detected_seizures(alerts: DataFrame, annotations: DataFrame, params: MonitorParams) -> DataFrame:
     """Distinct labelled intervals that at least one alert shares time with."""
-    return _alerts_per_label(alert_spans(alerts), annotations, params).select(*LABEL_COLUMNS)
+    return _detected(alert_spans(alerts), annotations, params)
 
 
 def detection_report(alerts: DataFrame, annotations: DataFrame, params: MonitorParams) -> DataFrame:
     """One row: detected and total intervals, false positives and alerts, both rates in percent.
 
-    All branches start from the same shuffle of the alerts into spans. Each count is a partial
-    aggregate; a single sum brings the four of them together. A rate over nothing is null.
+    Each count is a partial aggregate; a single sum brings the four of them together. The two alert
+    counts share one shuffle of the alerts into spans. A rate over nothing is null.
     """
     spans = alert_spans(alerts)
     alerts_in = F.coalesce(F.sum("alerts"), F.lit(0))
     parts = {
-        "detected": _alerts_per_label(spans, annotations, params).agg(F.count_if(F.col("alerts") > 0)),
+        "detected": _detected(spans, annotations, params).agg(F.count("*")),
         "total_seizures": annotations.agg(F.count("*")),
         "false_positives": false_positives(spans, annotations, params).agg(alerts_in),
         "total_alerts": spans.agg(alerts_in),
