@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavelane.llm import mixing, near_dedup, quality_rules, repeats, url_filter
+from wavelane.llm import mixing, near_dedup, packing, quality_rules, repeats, url_filter
 from wavelane.llm.common import read
 
 # The mix of the registered query and of the pipeline. The tables have no domain: sources are dealt to three
@@ -42,10 +42,21 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_mixing": op4_mixing,
     "op6_url_filter": op6_url_filter,
+    "op7_packing": op7_packing,
     "op8_near_dedup": op8_near_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
 }
