@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavelane.llm import mixing, near_dedup, packing, quality_rules, repeats, url_filter
+from wavelane.llm import mixing, near_dedup, packing, quality_rules, repeats, toxicity, url_filter
 from wavelane.llm.common import read
 
 # The mix of the registered query and of the pipeline. The tables have no domain: sources are dealt to three
@@ -52,9 +52,15 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_mixing": op4_mixing,
+    "op5_toxicity": op5_toxicity,
     "op6_url_filter": op6_url_filter,
     "op7_packing": op7_packing,
     "op8_near_dedup": op8_near_dedup,
