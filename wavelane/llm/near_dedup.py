@@ -247,3 +247,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = sketches.select("doc_id", "n_shingles", "set_hash").join(of_class, "set_hash", "left")
     found = found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return found.select("*", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def without_duplicates(docs: DataFrame) -> DataFrame:
+    """One document of each component of ``docs``, all columns; rows that repeat an id with the same text
+    count as copies of each other; rows without an id stay."""
+    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    stay = docs.join(store(kept, "near-kept"), "doc_id", "left_semi").select(*docs.columns)
+    again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null").select("doc_id")
+    again = store(again, "near-again")
+    if not again.isEmpty():
+        once = stay.join(again, "doc_id", "left_anti").select(*docs.columns)
+        stay = once.union(stay.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"]))
+    return stay.union(docs.where("doc_id is null"))

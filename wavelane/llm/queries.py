@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavelane.llm import mixing, near_dedup, packing, quality_rules, repeats, toxicity, url_filter
+from wavelane.llm import html_text, mixing, multi_index, near_dedup, packing, quality_rules, repeats, toxicity, url_filter, warc
 from wavelane.llm.common import read
 
 # The mix of the registered query and of the pipeline. The tables have no domain: sources are dealt to three
@@ -25,6 +25,23 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, rules)
 
 
+def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def labelled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and their right text: the number at the end of a url's path names the document the page shows."""
+    number = F.regexp_extract("url", r"^[^?#]*/([0-9]+)", 1).try_cast("long")
+    pages = read(spark, sf_dir, "pages").select("page_id", "html", number.alias("doc_id"))
+    few = html_text.hashed_sample(pages.where("doc_id is not null"), "page_id", 300)
+    # At most about 300 rows: the bound of this broadcast.
+    return read(spark, sf_dir, "documents").select("doc_id", "text").join(F.broadcast(few), "doc_id")
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(read(spark, sf_dir, "pages"), html_text.fit(labelled_pages(spark, sf_dir)))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"), domain_of_source(), WEIGHTS, share=0.6, max_epochs=3)
 
@@ -57,12 +74,19 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_multi_index": op2_multi_index,
+    "op3_html_text": op3_html_text,
     "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,
     "op6_url_filter": op6_url_filter,
     "op7_packing": op7_packing,
     "op8_near_dedup": op8_near_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_warc": op10_warc,
 }
