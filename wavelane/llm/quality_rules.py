@@ -286,5 +286,9 @@ def judge(docs: DataFrame, rules: RuleList) -> DataFrame:
 def keep_good(docs: DataFrame, rules: RuleList) -> DataFrame:
     """The rows of ``docs``, all columns, whose text passes; judged row by row, so nothing is shuffled."""
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("text").alias("__body"))
+    # A filter on top would make the optimizer spell the statistics out again wherever the condition names
+    # them; exploding one row or none does not.
     judged = text_statistics(whole, "__row", "__body")
-    return judged.where(~base_failed() & rules.fired().isNull()).select("doc_id.*")
+    good = ~base_failed() & rules.fired().isNull()
+    kept = judged.select(F.explode(F.when(good, F.array("doc_id")).otherwise(F.array_remove(F.array("doc_id"), F.col("doc_id")))).alias("kept"))
+    return kept.select("kept.*")
