@@ -38,7 +38,7 @@ SIDE = 4 * BLOCK  # the widest distance from a window's start to its anchor
 ANCHOR = LENGTH - SIDE
 WIDTH = SIDE + LENGTH  # the surroundings of an anchor: SIDE bytes before it, LENGTH bytes from it on
 CORE = LENGTH - BLOCK  # four symbols, one of them the anchor
-HOT = 1000
+HOT = 250
 STEP = 1 << 20
 
 _U = np.uint64
@@ -279,42 +279,62 @@ def _by_key(keys: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         begin = stop
 
 
-HOT_WINDOWS = "core long, q int, windows array<long>, alone boolean, doc long, version int, at int"
+HOT_WINDOWS = "core long, q int, windows array<long>, whole long, alone boolean, doc long, version int, at int"
 
 
 def _hot_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per piece and block: the hash of the shared 165 bytes and those of its windows (null: not all there)."""
+    """Per piece and block: the hash of the shared 165 bytes, those of its windows and that of
+    all the bytes they cover (null: not all there)."""
     for batch in batches:
         for begin in range(0, batch.num_rows, 2048):
             part = batch.slice(begin, 2048)
             pieces = _Pieces(part.column("key").to_numpy(), part.column("before").to_numpy().astype(np.int64), part.column("body").to_pylist())
             for q in range(4):
                 core, there = pieces.hashes(SIDE - q * BLOCK, CORE)
-                columns = [SIDE - q * BLOCK - e for e in range(BLOCK + (q == 3))]
-                values, usable = zip(*(pieces.hashes(c, LENGTH) for c in columns))
+                first = SIDE - q * BLOCK
                 rows = pa.array(np.flatnonzero(there))
-                flat = pa.array(np.stack(values, 1).view(np.int64)[there].ravel(), mask=~np.stack(usable, 1)[there].ravel())
-                offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(columns))
+
+                def lists(spans: list[tuple[int, int]]) -> pa.ListArray:
+                    values, usable = zip(*(pieces.hashes(c, width) for c, width in spans))
+                    flat = pa.array(np.stack(values, 1).view(np.int64)[there].ravel(), mask=~np.stack(usable, 1)[there].ravel())
+                    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(spans)), flat)
+
+                windows = lists([(first - e, LENGTH) for e in range(BLOCK + (q == 3))])
+                whole = lists([(first - BLOCK + (q < 3), LENGTH + BLOCK - (q < 3))])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(core.view(np.int64)).take(rows),
                         pa.array(np.full(len(rows), q, np.int32)),
-                        pa.ListArray.from_arrays(offsets, flat),
+                        windows,
+                        whole.flatten(),
                         *(part.column(c).take(rows) for c in ("alone", "doc", "version", "at")),
                     ],
-                    names=["core", "q", "windows", "alone", "doc", "version", "at"],
+                    names=["core", "q", "windows", "whole", "alone", "doc", "version", "at"],
                 )
 
 
 def _hot_intervals(pieces: DataFrame) -> DataFrame:
     """What ``_cold_batches`` finds, for anchors with very many surroundings, by counting hashes."""
     rows = store(pieces.mapInArrow(_hot_batches, HOT_WINDOWS), "repeat-hot")
-    cores = rows.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
-    windows = rows.join(cores, "core").select("alone", "doc", "version", "at", "q", F.posexplode("windows").alias("e", "hash"))
-    windows = store(windows.where("hash is not null"), "repeat-windows")
-    seen = windows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
-    low = F.col("at") - F.col("q") * BLOCK - F.col("e")
-    return windows.where("alone").join(seen, "hash").select("doc", "version", low.cast("int").alias("low"), (low + LENGTH).cast("int").alias("high"))
+    cores = store(_more_than_once(rows, "core"), "repeat-cores")
+    rows = store(rows.join(cores, "core"), "repeat-hot-cores")
+    # Where all the windows are repeated together, none needs a look of its own.
+    spans = store(_more_than_once(rows, "whole"), "repeat-spans")
+    first = F.col("at") - F.col("q") * BLOCK
+    low = first - BLOCK + (F.col("q") < 3).cast("int")
+    whole = rows.where("alone").join(spans, "whole").select("doc", "version", low.alias("low"), (first + LENGTH).alias("high"))
+    windows = rows.select(F.explode("windows").alias("hash")).where("hash is not null")
+    seen = store(_more_than_once(windows, "hash"), "repeat-windows")
+    left = rows.where("alone").join(spans, "whole", "left_anti").select("doc", "version", first.alias("first"), F.posexplode("windows").alias("e", "hash"))
+    low = F.col("first") - F.col("e")
+    some = left.join(seen, "hash").select("doc", "version", low.alias("low"), (low + LENGTH).alias("high"))
+    return whole.union(some)
+
+
+def _more_than_once(rows: DataFrame, column: str) -> DataFrame:
+    """The non-null values of ``column`` that several rows have."""
+    counts = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return counts.where("n > 1").select(column)
 
 
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,7 +379,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], keep_bytes: bool = False)
         known.select("doc", "version", "text").mapInArrow(_anchor_batches, "doc long, version int, at int, key long, around long"),
         "repeat-anchors",
     )
-    again = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    again = store(_more_than_once(found, "key"), "repeat-keys")
     repeated = store(found.join(again, "key"), "repeat-repeated")
     classes = store(
         repeated.groupBy("key", "around").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "version", "at")).alias("first")),
