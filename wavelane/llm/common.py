@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +50,23 @@ def small(table: DataFrame, rows: int = 10_000) -> DataFrame:
     """A stored table of short rows, hinted for broadcast if it was counted to have at most ``rows`` rows;
     beyond that it is joined as any other."""
     return F.broadcast(table) if table.count() <= rows else table
+
+
+def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """One table for each run of rows with equal (integer) ``keys``, whatever batches they came in."""
+    held: list[pa.RecordBatch] = []
+    last: tuple[int, ...] | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch.column(k).to_numpy() for k in keys])
+        edges = [0, *(np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for begin, stop in zip(edges, edges[1:]):
+            key = tuple(values[:, begin].tolist())
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(begin, stop - begin))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)

@@ -7,10 +7,12 @@ similarity. Documents that agree on a band of registers are candidates; from bot
 the similarity is estimated by maximum likelihood; what may reach the limit is confirmed on the full sets.
 
 Work is kept near the number of documents. Equal sets become one class. In a band's bucket each member is
-first compared with the smallest id only; once these links are joined to components, members of one bucket
-that are still apart are compared with each other, so a large group of near copies never meets pair by pair
-and no candidate that could join two components is left out. Components come from rounds of minimum labels
-with pointer jumping, each written to the shared folder.
+first compared with one hub only: the member that shares its buckets with the most others, which in a group
+of near copies is the one closest to the text they come from. Once these links are joined to components,
+members of one bucket that are still apart are compared with each other, so no candidate that could join two
+components is left out. They are compared in blocks of ``BLOCK`` documents, and only links leave a block: a
+large group of texts just too different to be linked makes work, but no rows. Components come from rounds of
+minimum labels with pointer jumping, each written to the shared folder.
 
 Defined results: a null, empty or blank text has an empty set, is linked with nothing and is its own
 component; a row that repeats another is returned as often; of different texts with one id, the least by
@@ -28,15 +30,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavelane.llm.common import store
+from wavelane.llm.common import runs_of, store
 from wavelane.llm.shingles import WordHashes, mixed, shingle_set
 
 REGISTERS, BAND, BASE, RATE, TOP = 128, 4, 1.001, 20.0, 65534
 PERCENT = 75
-#: Candidates whose estimate lies this far below the limit go on to the exact check: seven standard errors.
-SLACK = 0.27
+#: Candidates whose estimate lies this far below the limit go on to the exact check: four and a half standard
+#: errors of an estimate from all registers.
+SLACK = 0.17
+BLOCK = 128
 
-SKETCH_SCHEMA = "doc_id long, n_shingles long, set_hash binary, registers binary, bands array<long>"
+SKETCH_SCHEMA = "doc_id long, n_shingles long, set_hash binary, registers binary"
 
 
 def sketch(elements: np.ndarray) -> np.ndarray:
@@ -93,10 +97,10 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
 
 
 def band_keys(registers: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band; four 16-bit registers make the key exact, the band goes into the mix."""
-    rows = registers.reshape(-1, BAND).astype(np.uint64)
-    packed = rows[:, 0] | rows[:, 1] << np.uint64(16) | rows[:, 2] << np.uint64(32) | rows[:, 3] << np.uint64(48)
-    return mixed(packed + np.arange(len(rows), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
+    """Per row of registers one 64-bit key per band; four 16-bit registers fill it, the band goes into the mix."""
+    rows = registers.reshape(len(registers), -1, BAND).astype(np.uint64)
+    packed = rows[..., 0] | rows[..., 1] << np.uint64(16) | rows[..., 2] << np.uint64(32) | rows[..., 3] << np.uint64(48)
+    return mixed(packed + np.arange(rows.shape[1], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
 
 
 def _set_hash(members: np.ndarray) -> bytes:
@@ -114,22 +118,32 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 members = shingle_set(text, hashes)
                 if not len(members):
-                    rows.append((doc_id, 0, None, None, None))
+                    rows.append((doc_id, 0, None, None))
                     continue
                 registers = sketch(members)
-                rows.append((doc_id, len(members), _set_hash(members), registers.tobytes(), band_keys(registers)))
+                rows.append((doc_id, len(members), _set_hash(members), registers.tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[0] for r in rows], pa.int64()),
                     pa.array([r[1] for r in rows], pa.int64()),
                     pa.array([r[2] for r in rows], pa.binary()),
                     pa.array([r[3] for r in rows], pa.binary()),
-                    pa.array([r[4] for r in rows], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "set_hash", "registers", "bands"],
+                names=["doc_id", "n_shingles", "set_hash", "registers"],
             )
 
 
+def _band_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id and key of every band."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 4096):
+            part = batch.slice(at, 4096)
+            registers = np.frombuffer(b"".join(part.column("registers").to_pylist()), np.uint16).reshape(part.num_rows, REGISTERS)
+            keys = band_keys(registers)
+            ids = np.repeat(part.column("doc_id").to_numpy(), keys.shape[1])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys.ravel())], names=["doc_id", "key"])
+
+
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, hash and sorted shingle hashes of each text's set."""
     hashes = WordHashes()
@@ -168,23 +182,69 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[np.array(good, bool), ["a", "b"]]
 
 
-def _confirm(pairs: DataFrame, sketches: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a < b, distinct) that reach the limit: first by the sketches, then on the full sets."""
-    info = sketches.select("doc_id", "n_shingles", "registers")
-    side = lambda x: info.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("registers").alias(f"registers_{x}"))
+    side = lambda x: heads.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("registers").alias(f"registers_{x}"))
     sized = pairs.join(side("a"), "a").join(side("b"), "b")
     sized = sized.where(F.lit(100) * F.least("n_a", "n_b") >= F.lit(PERCENT) * F.greatest("n_a", "n_b"))
     likely = store(sized.mapInPandas(_likely, "a long, b long"), "near-likely")
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.join(wanted, "doc_id", "left_semi")
-    sets = texts.mapInArrow(_set_batches, "doc_id long, set_hash binary, members binary")
-    sets = sets.join(sketches.select("doc_id", "set_hash"), ["doc_id", "set_hash"], "left_semi")
-    sets = store(sets.dropDuplicates(["doc_id"]), "near-sets")
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("members").alias(f"members_{x}"))
     both = likely.join(side("b"), "b").join(side("a"), "a")
     return store(both.mapInPandas(_verified, "a long, b long"), "near-links")
 
 
+def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for table in runs_of(batches, ["group", "low", "high"]):
+        links = _linked_in_block(table.to_pandas())
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
+
+
+def _linked_in_block(rows: pd.DataFrame) -> list[tuple[int, int]]:
+    """Links between the documents of two blocks (or in one) that share a band and have different labels."""
+    low, high = (rows[rows["block"] == rows[c].iloc[0]] for c in ("low", "high"))
+    one_block = rows["low"].iloc[0] == rows["high"].iloc[0]
+    unpack = lambda x: np.frombuffer(b"".join(x["registers"]), np.uint16).reshape(len(x), REGISTERS)
+    registers_b, label_b, id_b = unpack(high), high["label"].to_numpy(), high["doc_id"].to_numpy()
+    sets_b = [np.frombuffer(x, np.uint64) for x in high["members"]]
+    size_b = np.array([len(x) for x in sets_b], float)
+    out: list[tuple[int, int]] = []
+    for registers, label, doc_id, packed in zip(unpack(low), low["label"], low["doc_id"], low["members"]):
+        mine = np.frombuffer(packed, np.uint64)
+        n = float(len(mine))
+        meet = (label_b != label) & (100 * np.minimum(size_b, n) >= PERCENT * np.maximum(size_b, n))
+        if one_block:
+            meet &= id_b > doc_id
+        near = np.flatnonzero(meet)
+        same = (registers_b[near] == registers).reshape(len(near), -1, BAND).all(axis=2).any(axis=1)
+        near = near[same]
+        if not len(near):
+            continue
+        likely = estimate(np.broadcast_to(registers, (len(near), REGISTERS)), registers_b[near], np.full(len(near), n), size_b[near])
+        for k in near[likely >= PERCENT / 100 - SLACK]:
+            common = len(np.intersect1d(mine, sets_b[k], assume_unique=True))
+            if 100 * common >= PERCENT * (n + size_b[k] - common):
+                out.append((min(doc_id, int(id_b[k])), max(doc_id, int(id_b[k]))))
+    return out
+
+
+def _across(apart: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members (key, doc_id, label) of one bucket whose labels differ.
+
+    Documents connected over shared buckets are one group, cut into blocks by a hash; each pair of a group's
+    blocks meets in a task of its own."""
+    first = apart.groupBy("key").agg(F.min("doc_id").alias("a"))
+    touching = apart.join(first, "key").where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
+    group = components(touching).select("doc_id", F.col("label").alias("group"))
+    sizes = group.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("blocks"))
+    members = apart.select("doc_id", "label").distinct().join(group, "doc_id").join(sizes, "group")
+    members = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+    members = members.join(heads.select("doc_id", "registers"), "doc_id").join(sets.select("doc_id", "members"), "doc_id")
+    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other", "blocks")
+    keys = ["group", "low", "high"]
+    return store(dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_block_batches, "a long, b long"), "near-across")
+
+
 def components(links: DataFrame) -> DataFrame:
     """doc_id and the smallest id reachable over links (a, b), for every id in a link.
 
@@ -218,28 +278,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     heads = store(
         sets.join(classes.select("set_hash", F.col("head").alias("doc_id")), ["set_hash", "doc_id"], "left_semi")
         .groupBy("doc_id")
-        .agg(F.min(F.struct("set_hash", "n_shingles", "registers", "bands")).alias("x"))
+        .agg(F.min(F.struct("set_hash", "n_shingles", "registers")).alias("x"))
         .select("doc_id", "x.*"),
         "near-heads",
     )
-    buckets = heads.select("doc_id", F.posexplode("bands").alias("band", "key")).select("doc_id", "key")
-    hubs = buckets.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    crowded = store(buckets.join(hubs.select("key", "hub"), "key"), "near-buckets")
-    to_hub = crowded.where("doc_id > hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = _confirm(to_hub, heads, texts)
+    buckets = heads.select("doc_id", "registers").mapInArrow(_band_batches, "doc_id long, key long")
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    crowded = store(buckets.join(sizes, "key"), "near-buckets")
+    company = store(crowded.groupBy("doc_id").agg(F.sum("n").alias("company")), "near-company")
+    ranked = store(crowded.select("key", "doc_id").join(company, "doc_id"), "near-ranked")
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("company", -F.col("doc_id"))).alias("x")).select("key", (-F.col("x.col2")).alias("hub"))
+    to_hub = ranked.join(hubs, "key").where("doc_id <> hub")
+    to_hub = store(to_hub.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct(), "near-to-hub")
+    # The sets of all documents that have company in a bucket: what any comparison may need.
+    wanted = company.select("doc_id")
+    members = texts.join(wanted, "doc_id", "left_semi").mapInArrow(_set_batches, "doc_id long, set_hash binary, members binary")
+    members = members.join(heads.select("doc_id", "set_hash"), ["doc_id", "set_hash"], "left_semi")
+    full = store(members.dropDuplicates(["doc_id"]), "near-sets")
+    links = _confirm(to_hub, heads, full)
     labels = components(links)
     # Members of a bucket in different components: every such pair is a candidate that could join them.
     placed = crowded.join(labels, "doc_id", "left").select("key", "doc_id", F.coalesce("label", "doc_id").alias("label"))
     mixed_keys = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
     apart = store(placed.join(mixed_keys, "key"), "near-apart")
-    x, y = apart.alias("x"), apart.alias("y")
-    across = (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.label") != F.col("y.label")))
-        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-        .distinct()
-        .join(to_hub, ["a", "b"], "left_anti")
-    )
-    more = _confirm(across, heads, texts)
+    more = _across(apart, heads, full)
     labels = components(links.union(more))
     of_class = classes.join(labels.withColumnRenamed("doc_id", "head"), "head", "left").select(
         "set_hash", F.coalesce("label", "head").alias("component")
