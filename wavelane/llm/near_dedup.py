@@ -215,7 +215,7 @@ def _linked_in_block(rows: pd.DataFrame) -> list[tuple[int, int]]:
         if one_block:
             meet &= id_b > doc_id
         near = np.flatnonzero(meet)
-        same = (registers_b[near] == registers).reshape(len(near), -1, BAND).all(axis=2).any(axis=1)
+        same = (registers_b[near] == registers).reshape(len(near), REGISTERS // BAND, BAND).all(axis=2).any(axis=1)
         near = near[same]
         if not len(near):
             continue
