@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from wavelane import MonitorParams
-from wavelane.operators.intervals import overlap_join, slice_around
+from wavelane.operators.intervals import broadcast_if_small, overlap_join, slice_around
 from wavelane.plans.detection import detected_seizures, detection_report, false_positives
 from wavelane.plans.marts import patient_summary, seizure_detection_rate
 
@@ -173,3 +173,21 @@ def test_patient_without_alerts_is_in_the_summary(spark):
     alerts = spark.createDataFrame([("a", "high_variance")], "patient_id string, alert_reason string")
     rows = sorted(map(tuple, patient_summary(features, alerts).collect()))
     assert rows == [("a", 3, 1, "33.33%"), ("b", 1, None, "0.0%")]
+
+
+def test_endless_labels_and_rows_of_years_meet(spark):
+    at = dt.datetime
+    left = spark.createDataFrame(
+        [("a", 1, at(2024, 1, 1), at(2024, 1, 1, 0, 0, 5)), ("a", 2, at(2001, 1, 1), at(2023, 1, 1)), ("a", 3, None, at(2024, 1, 1)), ("a", 4, at(1999, 1, 1), at(1999, 1, 2))],
+        "patient_id string, n int, start timestamp, end timestamp",
+    )
+    right = spark.createDataFrame([("a", 7, at(2000, 1, 1), at(9999, 1, 1)), ("a", 8, None, None)], "patient_id string, m int, from timestamp, to timestamp")
+    joined = overlap_join(left, right, ("start", "end"), ("from", "to"), 300)
+    assert sorted((r.n, r.m) for r in joined.collect()) == [(1, 7), (2, 7)]
+    missed = overlap_join(left, right, ("start", "end"), ("from", "to"), 300, "left_anti")
+    assert sorted(r.n for r in missed.collect()) == [3, 4]
+
+
+def test_arrays_count_in_the_measured_size(spark):
+    wide = spark.range(4).selectExpr("id", "transform(sequence(1, 10000), x -> cast(x as double)) as many")
+    assert "broadcast" not in broadcast_if_small(wide, 100_000)._jdf.queryExecution().toString()

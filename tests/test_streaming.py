@@ -134,7 +134,7 @@ def test_restart_goes_on_without_duplicates(spark, tmp_path):
 def test_replayed_batch_replaces_its_own_rows(spark, tmp_path):
     feed = Feed(spark, tmp_path)
     feed.land(*seconds(0, 10))
-    write = FanOut(feed.features, feed.alerts)
+    write = FanOut(feed.features, feed.alerts, feed="test")
     write(feed.batch(), 7)
     once = feed.rows(feed.features), feed.rows(feed.alerts)
     write(feed.batch(), 7)

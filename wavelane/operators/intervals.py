@@ -10,21 +10,24 @@ patient into one task. Here both sides also carry a grid cell, so that the equi
 
 So each overlapping pair meets in exactly one cell: no pair is found twice, none is lost, and
 anti and semi joins work on the same key. Only the right side is multiplied: about three rows per
-level plus its length in base cells, so the usual choice is the label table. Both sides go through
-a shuffle unless AQE measures one small enough to broadcast; AQE also splits hot cells.
+level plus its length in base cells, so the usual choice is the label table. If it holds a row of over
+``LEVEL_STEP`` cells (a label that was never ended), it is listed only where left rows of a level are:
+one aggregate finds their first and last moment per level. Rows without a start or end overlap nothing
+and are not placed. Both sides go through a shuffle unless AQE measures one small enough to broadcast;
+AQE also splits hot cells.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from wavelane.functions import overlaps
 
-LEVELS = 3
 LEVEL_STEP = 64
 MICROS = 1_000_000
+# No two moments that a timestamp can hold are farther apart, in microseconds.
+WIDEST = 10_000 * 366 * 86_400 * MICROS
 
 Span = tuple[str, str]
 
@@ -33,7 +36,9 @@ def _grid(cell_seconds: int, longest: int | None) -> tuple[list[int], list[int]]
     """Cell width and longest left row per level, in microseconds."""
     if longest is not None:
         return [cell_seconds * MICROS], [longest]
-    widths = [cell_seconds * MICROS * LEVEL_STEP**level for level in range(LEVELS)]
+    widths = [cell_seconds * MICROS]
+    while widths[-1] < WIDEST:
+        widths.append(min(widths[-1] * LEVEL_STEP, WIDEST))
     return widths, widths
 
 
@@ -54,24 +59,41 @@ def _with_own_cell(left: DataFrame, span: Span, widths: list[int], bounded: bool
     cells = " ".join(f"{fit} {_cell(start, width)}" for fit, width in zip(fits, widths))
     return left.withColumns(
         {
-            "__level": F.expr(f"case {levels} else {len(widths)} end"),
-            "__cell": F.expr(f"case {cells} else 0L end"),
+            "__level": F.expr(f"case {levels} end"),
+            "__cell": F.expr(f"case {cells} end"),
         }
     )
 
 
 def _with_reachable_cells(
-    right: DataFrame, span: Span, widths: list[int], reach: list[int], bounded: bool
+    right: DataFrame, span: Span, widths: list[int], reach: list[int], used: dict | None
 ) -> DataFrame:
+    """``used``: first start and last end of the left rows per level, if the listing is to be cut to them."""
     start, end = map(_micros, span)
-    listed = []
+    listed = ["cast(array() as array<struct<__level:int,__cell:bigint>>)"]
     for number, (width, longest) in enumerate(zip(widths, reach)):
-        first, last = _cell(f"({start} - {longest}L)", width), _cell(end, width)
-        cells = f"if({first} <= {last}, sequence({first}, {last}, {width}L), cast(array() as array<bigint>))"
+        begin, stop = f"({start} - {longest}L)", end
+        if used is not None:
+            if number not in used:
+                continue
+            low, high = used[number]
+            begin, stop = f"greatest({begin}, {low}L)", f"least({stop}, {high}L)"
+        first, last = _cell(begin, width), _cell(stop, width)
+        cells = f"if({begin} <= {stop}, sequence({first}, {last}, {width}L), cast(array() as array<bigint>))"
         listed.append(f"transform({cells}, c -> struct({number} as __level, c as __cell))")
-    if not bounded:
-        listed.append(f"array(struct({len(widths)} as __level, 0L as __cell))")
-    return right.select("*", F.expr(f"inline(concat({', '.join(listed)}))"))
+    placed = right.where(F.col(span[0]).isNotNull() & F.col(span[1]).isNotNull())
+    return placed.select("*", F.expr(f"inline(concat({', '.join(listed)}))"))
+
+
+def _levels_in_use(placed: DataFrame, span: Span, right: DataFrame, right_span: Span, widths: list[int]) -> dict | None:
+    """Where left rows are, per level; None if no right row is long enough to need it."""
+    start, end = map(_micros, right_span)
+    longest = right.agg(F.max(F.expr(f"{end} - {start}")).alias("longest")).first()["longest"]
+    if longest is None or longest <= LEVEL_STEP * widths[0]:
+        return None
+    start, end = map(_micros, span)
+    rows = placed.where("__level is not null").groupBy("__level").agg(F.min(F.expr(start)).alias("low"), F.max(F.expr(end)).alias("high"))
+    return {row["__level"]: (row["low"], row["high"]) for row in rows.collect()}
 
 
 def overlap_join(
@@ -95,13 +117,15 @@ def overlap_join(
     bounded = longest_micros is not None
     widths, reach = _grid(cell_seconds, longest_micros)
     placed = _with_own_cell(left, left_span, widths, bounded)
-    listed = _with_reachable_cells(right, right_span, widths, reach, bounded)
+    used = _levels_in_use(placed, left_span, right, right_span, widths)
+    listed = _with_reachable_cells(right, right_span, widths, reach, used)
     if how != "inner":
         listed = listed.select(key, *right_span, "__level", "__cell")
     listed = listed.withColumnsRenamed(
         {name: f"__right_{name}" for name in (key, "__level", "__cell")}
     )
-    if broadcast_bytes is not None:
+    # The table itself first: one that is too large need not be listed to know.
+    if broadcast_bytes is not None and measured_bytes(right) <= broadcast_bytes:
         listed = broadcast_if_small(listed, broadcast_bytes)
     matching = (
         (F.col(key) == F.col(f"__right_{key}"))
@@ -114,17 +138,16 @@ def overlap_join(
 
 
 def broadcast_if_small(side: DataFrame, max_bytes: int) -> DataFrame:
-    """Hint a broadcast only if the side's values measure at most ``max_bytes``.
+    """Hint a broadcast only if the side's values measure at most ``max_bytes``; else it joins by shuffle."""
+    return F.broadcast(side) if measured_bytes(side) <= max_bytes else side
 
-    One aggregate measures eight bytes per value plus the length of strings. It reads no more rows than
-    could fit, so that a large side is found out early; that one joins by shuffle.
-    """
-    fixed = 8 * len(side.columns)
-    texts = [F.octet_length(f.name) for f in side.schema if isinstance(f.dataType, StringType)]
-    row = sum((F.coalesce(length, F.lit(0)) for length in texts), F.lit(fixed))
-    probe = side.limit(max_bytes // fixed + 1)
-    measured = probe.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]
-    return F.broadcast(side) if measured <= max_bytes else side
+
+def measured_bytes(side: DataFrame) -> int:
+    """Eight bytes per value plus the rows as text, so that strings, arrays, maps and structs count with what
+    they hold: one aggregate with partial sums in every task."""
+    text = F.to_json(F.struct(*[F.col(f"`{name}`") for name in side.columns]))
+    row = F.octet_length(text) + F.lit(8 * len(side.columns))
+    return side.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
 def slice_around(

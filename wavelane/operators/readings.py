@@ -6,7 +6,7 @@ channel's voltage at that instant.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MESSAGE_SCHEMA = (
@@ -31,11 +31,21 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
 def pack_messages(readings: DataFrame) -> DataFrame:
     """Readings to one JSON message per (patient, time, sample), as bytes in ``value``.
 
-    A channel occurs once per sample, so a group is as small as the set of channels.
+    A reading that comes again (as at-least-once sources send) counts once; of different voltages of one
+    channel at one instant the largest counts, a null only if there is no other. Equal readings are dropped
+    before the shuffle, so a group is as small as the set of channels.
     """
-    entry = F.struct("channel", "voltage")
-    grouped = readings.groupBy("patient_id", "timestamp_ms", "sample_index").agg(
-        F.map_from_entries(F.collect_list(entry)).alias("channels")
+    entries = F.array_sort(F.collect_set(F.struct("channel", "voltage")))
+    grouped = readings.where(F.col("channel").isNotNull()).groupBy(
+        "patient_id", "timestamp_ms", "sample_index"
+    ).agg(entries.alias("__entries"))
+
+    def last_of_channel(entry: Column, place: Column) -> Column:
+        after = F.get("__entries", place + 1)["channel"]
+        return after.isNull() | (after != entry["channel"])
+
+    grouped = grouped.withColumn(
+        "channels", F.map_from_entries(F.filter("__entries", last_of_channel))
     )
     body = F.struct("patient_id", "timestamp_ms", "sample_index", "channels")
     return grouped.select(F.to_json(body, {"ignoreNullFields": "false"}).cast("binary").alias("value"))

@@ -8,8 +8,6 @@ rows per block, are then ordered along the whole series.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,12 +63,18 @@ def number_within(
 ) -> DataFrame:
     """Number the rows of each key from 0 in ``order``, like ``row_number`` but block by block.
 
-    ``block`` must not decrease along ``order``. Null keys form a group of their own. ``total`` names a
+    ``block`` must not be null nor decrease along ``order``. Null keys form a group of their own. ``total`` names a
     column for the number of rows of the key.
     """
-    keys = list(keys)
+    # As text, null is a key like others: the join is on plain equality and needs the partitioning that the
+    # window has made, so the rows move once.
+    texts = {
+        f"__key_{number}": F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("null"))
+        for number, name in enumerate(keys)
+    }
+    keys = list(texts)
     grouping = [*keys, "__block"]
-    blocked = rows.withColumn("__block", block)
+    blocked = rows.withColumns({**texts, "__block": block})
     numbered = blocked.withColumn(
         "__place", F.row_number().over(Window.partitionBy(*grouping).orderBy(*order)) - 1
     )
@@ -78,12 +82,11 @@ def number_within(
     earlier = whole.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     sizes = blocked.groupBy(*grouping).agg(F.count("*").alias("__size"))
     offsets = sizes.select(
-        *[F.col(name).alias(f"__of_{name}") for name in grouping],
+        *grouping,
         F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__offset"),
         F.sum("__size").over(whole).alias("__total"),
     )
-    same = [F.col(name).eqNullSafe(F.col(f"__of_{name}")) for name in grouping]
-    placed = numbered.join(offsets, reduce(and_, same))
+    placed = numbered.join(offsets, grouping)
     counted = {into: F.col("__offset") + F.col("__place")}
     if total:
         counted[total] = F.col("__total")

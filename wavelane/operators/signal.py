@@ -13,10 +13,13 @@ from wavelane.operators.series import number_within
 from wavelane.params import MonitorParams
 
 
-def signal_profile(readings: DataFrame) -> DataFrame:
-    """Per channel: number of samples, covered time, samples per second, extremes."""
+def signal_profile(
+    readings: DataFrame, keys: Sequence[str] = ("patient_id", "channel")
+) -> DataFrame:
+    """Per patient and channel (or other ``keys``, such as the recording and channel): number of samples,
+    covered time, samples per second, extremes."""
     seconds = (micros(F.col("last_time")) - micros(F.col("first_time"))) / 1e6
-    grouped = readings.groupBy("channel").agg(
+    grouped = readings.groupBy(*keys).agg(
         F.count("*").alias("samples"),
         F.min("event_time").alias("first_time"),
         F.max("event_time").alias("last_time"),

@@ -1,8 +1,9 @@
 """Labelled intervals from summary texts.
 
 A text has one block per recording, beginning with a ``File Name`` line. By position, the first line
-names the recording, the fourth gives the number of intervals, and the lines after it give start and
-end in seconds from the start of the recording, in turn. Values follow the first colon of a line.
+names the recording, the fourth gives the number of intervals, and the lines after it (blank ones aside)
+give start and end in seconds from the start of the recording, two lines an interval. Values follow the
+first colon of a line. A line that is no number spoils its own interval only, and is reported.
 """
 
 from __future__ import annotations
@@ -32,8 +33,24 @@ def parse_summaries(
     """Every labelled interval of every block; other columns of the input are kept.
 
     Adds patient_id, recording_file, start_second, end_second. Blocks that state 0 intervals, and texts
-    without blocks, give no row.
+    without blocks, give no row; intervals that can't be read are in ``summary_problems``.
     """
+    return _stated_intervals(summaries, patient_pattern, text).where(
+        "start_second is not null and end_second is not null"
+    ).drop("interval")
+
+
+def summary_problems(
+    summaries: DataFrame, patient_pattern: str = PATIENT_IN_FILE_NAME, text: str = "value"
+) -> DataFrame:
+    """Stated intervals whose start or end is missing or no number: patient_id, recording_file, interval
+    (from 1), and what could be read of them; other columns of the input are kept."""
+    return _stated_intervals(summaries, patient_pattern, text).where(
+        "start_second is null or end_second is null"
+    )
+
+
+def _stated_intervals(summaries: DataFrame, patient_pattern: str, text: str) -> DataFrame:
     kept = [name for name in summaries.columns if name != text]
     blocks = summaries.select(*kept, F.explode(F.split(text, BLOCK_START)).alias("block"))
     lines = blocks.where(F.col("block").startswith("File Name")).select(
@@ -42,21 +59,24 @@ def parse_summaries(
     value = F.regexp_extract(F.get("lines", F.lit(NAME_LINE - 1)), r":(.*)", 1)
     stated = F.regexp_extract(F.get("lines", F.lit(COUNT_LINE - 1)), r":\s*(\d+)", 1)
     rest = F.slice("lines", FIRST_TIME_LINE, F.greatest(F.size("lines"), F.lit(1)))
-    seconds = F.filter(
-        F.transform(rest, lambda line: F.regexp_extract(line, r":\s*(\d+)", 1).try_cast("bigint")),
-        lambda second: second.isNotNull(),
+    seconds = F.transform(
+        F.filter(rest, lambda line: F.trim(line) != ""),
+        lambda line: F.regexp_extract(line, r":\s*(\d+)", 1).try_cast("bigint"),
     )
     numbered = lines.select(
         *kept,
         F.trim(value).alias("recording_file"),
         F.coalesce(stated.try_cast("int"), F.lit(0)).alias("__stated"),
         seconds.alias("__seconds"),
-    ).where("__stated > 0 and size(__seconds) >= 2")
+    ).where("__stated > 0")
+    # A number of intervals beyond the lines there are is one unreadable interval, not a row for each.
+    listed = F.ceil(F.size("__seconds") / 2).cast("int")
     pairs = F.transform(
-        F.sequence(F.lit(1), F.least("__stated", F.floor(F.size("__seconds") / 2).cast("int"))),
+        F.sequence(F.lit(1), F.least("__stated", listed + 1)),
         lambda n: F.struct(
-            F.element_at("__seconds", n * 2 - 1).alias("start_second"),
-            F.element_at("__seconds", n * 2).alias("end_second"),
+            n.alias("interval"),
+            F.get("__seconds", n * 2 - 2).alias("start_second"),
+            F.get("__seconds", n * 2 - 1).alias("end_second"),
         ),
     )
     return numbered.select(

@@ -93,7 +93,8 @@ def recording_headers(files: DataFrame) -> DataFrame:
         {
             "__labels": F.transform(indexes, lambda i: of_signal(LABEL, i)),
             "__samples": F.transform(
-                indexes, lambda i: of_signal(SAMPLES_PER_RECORD, i).cast("int")
+                indexes,
+                lambda i: F.coalesce(of_signal(SAMPLES_PER_RECORD, i).try_cast("int"), F.lit(0)),
             ),
         }
     )
@@ -101,11 +102,11 @@ def recording_headers(files: DataFrame) -> DataFrame:
 
     def signal(index: Column) -> Column:
         def number(field: tuple[int, int]) -> Column:
-            return of_signal(field, index).cast("double")
+            return of_signal(field, index).try_cast("double")
 
         in_volts = F.coalesce(F.element_at(units, F.lower(of_signal(UNIT, index))), F.lit(1.0))
-        gain = (number(PHYSICAL_MAX) - number(PHYSICAL_MIN)) / (
-            number(DIGITAL_MAX) - number(DIGITAL_MIN)
+        gain = F.try_divide(
+            number(PHYSICAL_MAX) - number(PHYSICAL_MIN), number(DIGITAL_MAX) - number(DIGITAL_MIN)
         )
         bias = number(PHYSICAL_MIN) - number(DIGITAL_MIN) * gain
         return F.struct(
@@ -124,6 +125,12 @@ def recording_headers(files: DataFrame) -> DataFrame:
             "record_bytes": _total(F.col("__samples")) * 2,
         }
     ).withColumn("__channels", F.col("__signals.label"))
+    # A negative number of records means that it was never written: as many as the bytes make.
+    there = F.try_divide(F.length("content") - F.col("header_bytes"), F.col("record_bytes"))
+    described = described.withColumn(
+        "records",
+        F.when(F.col("records") < 0, F.greatest(F.floor(there), F.lit(0))).otherwise(F.col("records")),
+    )
     named = F.zip_with(
         "__signals",
         suffix_repeats(F.col("__channels")),
@@ -136,13 +143,49 @@ def recording_headers(files: DataFrame) -> DataFrame:
         "header_bytes",
         "records",
         "record_seconds",
-        (F.get("__signals", F.lit(0))["samples"] / F.col("record_seconds")).alias("sampling_rate"),
+        F.try_divide(F.get("__signals", F.lit(0))["samples"], F.col("record_seconds")).alias(
+            "sampling_rate"
+        ),
         named.alias("signals"),
         "record_bytes",
         "content",
     )
 
 
+def recording_problems(files: DataFrame) -> DataFrame:
+    """recording_file and what is wrong with it, for files that can't be read or not to their end.
+
+    ``header``: no usable header, so the file gives no samples. ``scale``: a signal without usable limits,
+    its voltages are null. ``open``: the header states no number of records (as in a file that was not
+    closed), all that are there are read. ``cut``: fewer bytes than stated, those that are there are read.
+    """
+    headers = recording_headers(files)
+    stated = headers.join(
+        files.select("recording_file", _number(RECORD_COUNT, "bigint").alias("stated")), "recording_file"
+    )
+    body = F.length("content") - F.col("header_bytes")
+    problem = (
+        F.when(~_readable(), "header")
+        .when(F.exists("signals", lambda one: one["gain"].isNull()), "scale")
+        .when(F.col("stated") < 0, "open")
+        .when(body < F.col("records") * F.col("record_bytes"), "cut")
+    )
+    found = stated.select("recording_file", problem.alias("problem")).where("problem is not null")
+    headless = files.where(~F.coalesce(_number(SIGNAL_COUNT, "int") > 0, F.lit(False)))
+    return found.union(headless.select("recording_file", F.lit("header").alias("problem")))
+
+
+def _readable() -> Column:
+    return F.coalesce(
+        (F.col("header_bytes") > 0)
+        & (F.col("record_bytes") > 0)
+        & (F.col("record_seconds") > 0)
+        & F.col("records").isNotNull()
+        & F.col("started_at").isNotNull(),
+        F.lit(False),
+    )
+
+
 def _total(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0), lambda total, number: total + number)
 
@@ -150,7 +193,8 @@ def _total(numbers: Column) -> Column:
 def _with_shorts(records: DataFrame, binary: str) -> DataFrame:
     """Replace a binary column, put last, by its little-endian 16-bit integers.
 
-    Works on whole Arrow batches without copying or looping: the bytes of a batch lie in one buffer.
+    Every binary must have an even length: the bytes of a batch lie in one buffer, and one odd length would
+    shift all that follow. Works on whole Arrow batches without copying or looping.
     The function is nested, so that it is sent to workers by value and they need not have this package.
     """
     schema = records.drop(binary).schema.add(binary, ArrayType(ShortType()))
@@ -173,9 +217,9 @@ def recording_samples(files: DataFrame) -> DataFrame:
 
     A file is cut into its records right after the scan, so what moves on is a record (a few kilobytes),
     never a file. The outer generators keep Spark from inferring filters that would parse the headers a
-    second time.
+    second time. Of a record that is cut, the whole samples that are there are read.
     """
-    headers = recording_headers(files).where("records > 0")
+    headers = recording_headers(files).where(_readable() & (F.col("records") > 0))
     described = ["patient_id", "recording_file", "started_at", "record_seconds"]
     numbered = headers.select(
         *described,
@@ -186,11 +230,14 @@ def recording_samples(files: DataFrame) -> DataFrame:
         F.explode_outer(F.sequence(F.lit(0).cast("bigint"), F.col("records") - 1)).alias("record"),
     )
     begin = F.col("header_bytes") + F.col("record") * F.col("record_bytes") + 1
+    # Only the last bytes of a cut file can be odd in number.
+    odd = F.greatest(F.least(F.length("content") - begin + 1, F.col("record_bytes")), F.lit(0)) % 2
+    odd = F.when(odd == 1, F.col("record_bytes") - (F.length("content") - begin)).otherwise(0).cast("int")
     bodies = numbered.select(
         *described,
         "signals",
         "record",
-        F.substring("content", begin.cast("int"), F.col("record_bytes")).alias("body"),
+        F.substring("content", begin.cast("int"), F.col("record_bytes") - odd).alias("body"),
     )
     decoded = _with_shorts(bodies, "body")
     chunks = decoded.select(*described, "record", "body", F.inline_outer("signals")).select(

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from wavelane.operators.features import alerts_only, label_alerts, window_features
 from wavelane.operators.readings import parse_messages
@@ -26,10 +26,12 @@ def live_features(messages: DataFrame, params: MonitorParams) -> DataFrame:
 class FanOut:
     """Writes each micro-batch twice: all windows to features, alerting ones to alerts.
 
-    Safe to replay. A file table keeps the batch number as its last partition level, and a batch replaces
-    just its own folders; Delta skips a batch it has seen. The state that produced a batch is versioned,
-    so a replay has the same rows. ``files_per_folder`` spreads a busy folder's rows over that many
-    write tasks.
+    Safe to replay. A file table keeps feed and batch number as its last partition level, and a batch
+    replaces just its own folders; Delta skips a batch of the feed it has seen. The state that produced a
+    batch is versioned, so a replay has the same rows. ``feed`` names the query: by default its id, which
+    ``checkpoint`` holds, so that neither a second query nor a new checkpoint on the same tables, whose
+    batches are numbered from 0 again, touches what is stored. Adaptive execution sizes the write tasks: a
+    busy folder is split over many, small ones share one.
     """
 
     def __init__(
@@ -37,32 +39,41 @@ class FanOut:
         features_path: str,
         alerts_path: str,
         fmt: str = "parquet",
-        app_id: str = "wavelane-monitor",
-        files_per_folder: int = 4,
+        checkpoint: str | None = None,
+        feed: str | None = None,
         partition_by: Sequence[str] = PARTITION_COLUMNS,
     ) -> None:
         self.features_path = features_path
         self.alerts_path = alerts_path
         self.fmt = fmt
-        self.app_id = app_id
-        self.files_per_folder = files_per_folder
+        self.checkpoint = checkpoint
+        self.feed = feed
         self.partition_by = tuple(partition_by)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spread = F.pmod(F.xxhash64("channel", "window_start"), F.lit(self.files_per_folder))
-        batch = batch.repartition(*self.partition_by, spread).persist(StorageLevel.MEMORY_AND_DISK)
+        feed = self._feed(batch.sparkSession)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._write(batch.drop("alert_reason"), self.features_path, batch_id)
-            self._write(alerts_only(batch), self.alerts_path, batch_id)
+            self._write(batch.drop("alert_reason"), self.features_path, feed, batch_id)
+            self._write(alerts_only(batch), self.alerts_path, feed, batch_id)
         finally:
             batch.unpersist()
 
-    def _write(self, rows: DataFrame, path: str, batch_id: int) -> None:
+    def _feed(self, session: SparkSession) -> str:
+        """The query's name: given, or the id Spark keeps in the checkpoint from the first start on."""
+        if self.feed is None:
+            if self.checkpoint is None:
+                raise ValueError("name the feed, or give the checkpoint that holds the query's id")
+            self.feed = session.read.schema("id string").json(f"{self.checkpoint}/metadata").first()["id"]
+        return self.feed
+
+    def _write(self, rows: DataFrame, path: str, feed: str, batch_id: int) -> None:
+        rows = rows.hint("rebalance", *self.partition_by)
         if self.fmt == "delta":
             writer = rows.write.format("delta").mode("append").partitionBy(*self.partition_by)
-            writer.option("txnAppId", self.app_id).option("txnVersion", batch_id).save(path)
+            writer.option("txnAppId", f"wavelane-{feed}").option("txnVersion", batch_id).save(path)
             return
-        numbered = rows.withColumn(BATCH_COLUMN, F.lit(batch_id))
+        numbered = rows.withColumn(BATCH_COLUMN, F.lit(f"{feed}-{batch_id}"))
         numbered.write.format(self.fmt).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(*self.partition_by, BATCH_COLUMN).save(path)
@@ -84,7 +95,8 @@ def start_monitor(
 
     ``state_partitions`` is fixed when the checkpoint is made: choose it for the number of open
     (window, patient, channel) groups. ``provider`` may name a state store, such as the RocksDB one
-    for state beyond executor memory. Both are set on a session of the query's own.
+    for state beyond executor memory. Both are set on the session while the query starts, which copies
+    them, and then put back: don't start monitors with different settings from several threads at once.
     """
     session = messages.sparkSession
     settings = {
@@ -95,7 +107,7 @@ def start_monitor(
     previous = {key: session.conf.get(key, None) for key in settings}
     writer = (
         live_features(messages, params)
-        .writeStream.foreachBatch(FanOut(features_path, alerts_path, fmt, partition_by=partition_by))
+        .writeStream.foreachBatch(FanOut(features_path, alerts_path, fmt, checkpoint, partition_by=partition_by))
         .option("checkpointLocation", checkpoint)
     )
     if drain:
@@ -116,9 +128,30 @@ def read_output(session, path: str, fmt: str = "parquet", columns: Sequence[str]
 
 
 def late_rows_dropped(query: StreamingQuery) -> int:
-    """Rows the finished triggers dropped because their window had closed."""
+    """Rows dropped because their window had closed, by the triggers Spark still remembers (100 unless
+    spark.sql.streaming.numRecentProgressUpdates says otherwise). For all triggers, listen: ``LateRows``."""
     return sum(
         operator["numRowsDroppedByWatermark"]
         for progress in query.recentProgress
         for operator in progress["stateOperators"]
     )
+
+
+class LateRows(StreamingQueryListener):
+    """Counts late rows of every trigger, by query id: ``spark.streams.addListener(LateRows())`` before the
+    start. A count outlives restarts of the query as long as the listener does."""
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+        name = str(event.progress.id)
+        self.dropped[name] = self.dropped.get(name, 0) + late
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryTerminated(self, event) -> None: ...

@@ -255,11 +255,11 @@ ORACLES: dict[str, str] = {
     ),
     "signal_profile": _select(
         READINGS,
-        """select channel, count(*) as samples, min(event_time) as first_time,
+        """select patient_id, channel, count(*) as samples, min(event_time) as first_time,
         max(event_time) as last_time, min(voltage) as min_v, max(voltage) as max_v,
         round(count(*) / (date_diff('microsecond', min(event_time), max(event_time)) / 1e6), 6)
           as samples_per_second
-        from readings group by 1""",
+        from readings group by 1, 2""",
     ),
     "band_power": _select(
         READINGS
