@@ -12,6 +12,7 @@ extra columns are not looked at; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections import Counter
@@ -19,6 +20,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,31 +35,62 @@ class WordIds(dict):
     """Ids of a stretch of text without ASCII white space, as little-endian 32-bit numbers.
 
     The tokenizer drops white space and never joins what it parts, so a text's ids are those of its
-    stretches one after the other; the invented and the natural alike repeat most of them. Emptied when it
-    holds ``limit`` stretches."""
+    stretches one after the other, and most stretches repeat. A new one of Latin-1 letters, where lower
+    case and normal form go character by character, is cut into words by the tokenizer's own pattern and
+    each new word goes to its model; others go through the whole tokenizer. Emptied at ``limit`` entries."""
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 300_000):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
-
-    def learn(self, stretches: list[bytes]) -> None:
-        new = list(set(stretches).difference(self))
-        if new:
-            if len(self) + len(new) > self.limit:
-                self.clear()
-                new = list(set(stretches))
-            texts = [x.decode("utf-8", "replace") for x in new]
-            for word, found in zip(new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                self[word] = np.array(found.ids, "<u4").tobytes()
+        self.words: dict[str, bytes] = {}
+        pattern = _plain_pattern(path)
+        self.cut = regex.compile(pattern).findall if pattern else None
+        added = [regex.escape(x.content) for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = regex.compile("|".join(added) if added else r"(?!)").search
+        self.model = self.tokenizer.model
+        # How the model spells bytes: printable ones as themselves, the others from 256 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.spelt = {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(hidden)}}
+
+    def __missing__(self, stretch: bytes) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
+        text = stretch.decode("utf-8", "replace")
+        if self.cut and (text.isascii() or max(text) <= "\xff") and not self.special(text):
+            found = b"".join([self.words.get(w) or self._word(w) for w in self.cut(text.lower())])
+        else:
+            found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self[stretch] = found
+        return found
+
+    def _word(self, word: str) -> bytes:
+        if len(self.words) >= self.limit:
+            self.words.clear()
+        spelt = word if word.isascii() and word.isprintable() else "".join(map(self.spelt.__getitem__, word.encode()))
+        self.words[word] = found = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(spelt)])
+        return found
 
     def ids(self, text: str | None) -> bytes:
-        stretches = (text or "").encode("utf-8", "replace").split()
-        self.learn(stretches)
-        return b"".join(map(self.__getitem__, stretches))
+        return b"".join(map(self.__getitem__, (text or "").encode("utf-8", "replace").split()))
+
+
+def _plain_pattern(path: str) -> str | None:
+    """The tokenizer's word pattern, if it is of the kind that ``WordIds`` can cut by itself: white space in
+    any run, lower case, words by one pattern, then bytes. White space is spelt out, as libraries differ."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    kinds = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+    cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if kinds != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
+        return None
+    if cuts[0]["behavior"] != "Removed" or not cuts[0]["invert"] or cuts[1]["add_prefix_space"] or cuts[1]["use_regex"]:
+        return None
+    return cuts[0]["pattern"]["Regex"].replace(r"\s", r"\x09-\x0d\x20\x85\xa0")
 
 
 def _tokenise(path: str, capacity: int, end_id: int, keep_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
