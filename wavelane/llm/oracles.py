@@ -1,3 +1,62 @@
 """The same results as the queries of this subpackage in DuckDB SQL, where SQL can express them."""
 
-ORACLES: dict[str, str] = {}
+from wavelane.llm.queries import WEIGHTS
+
+
+def _weight(level: str) -> str:
+    cases = "".join(f" when '{name}' then {value}" for name, value in WEIGHTS[level].items())
+    return f"(case {level}{cases} else 1 end)::hugeint"
+
+
+def _poured(nodes: str, siblings: str, name: str) -> str:
+    """Water filling of ``given`` over rows with ``weight`` and ``supply``; see ``mixing.water_fill``."""
+    over = f"partition by {siblings}" if siblings else ""
+    order = f"{over} order by supply::double / weight::double, {name} rows between unbounded preceding and 1 preceding"
+    return f"""
+  select *, (case when is_full then supply
+    else ((given - sum(case when is_full then supply else 0 end) over ({over})) * weight)
+      // sum(case when is_full then 0 else weight end) over ({over}) end)::hugeint as budget
+  from (select *, before * weight + supply * (sum(weight) over ({over}) - weights_before) <= given * weight as is_full
+    from (select *, coalesce(sum(supply) over ({order}), 0)::hugeint as before,
+      coalesce(sum(weight) over ({order}), 0)::hugeint as weights_before from ({nodes})))"""
+
+
+OP4 = f"""
+with units as (
+  select 'd' || (ascii(right(source, 1)) % 3) as domain, lang, source, doc_id,
+    len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) as n_tokens
+  from documents),
+leaves as (select domain, lang, source, sum(n_tokens)::hugeint as tokens from units group by 1, 2, 3),
+total as (select (sum(tokens) * 600000 // 1000000)::hugeint as given from leaves),
+domains as ({_poured(f"select domain, sum(tokens) * 3 as supply, {_weight('domain')} as weight, any_value(given) as given from leaves, total group by 1", "", "domain")}),
+langs as ({_poured(f"select l.domain, lang, sum(tokens) * 3 as supply, {_weight('lang')} as weight, any_value(budget) as given from leaves l join domains d on l.domain = d.domain group by 1, 2", "domain", "lang")}),
+sources as ({_poured("select l.domain, l.lang, source, tokens * 3 as supply, 1::hugeint as weight, budget as given from leaves l join langs d on l.domain = d.domain and l.lang = d.lang", "domain, lang", "source")}),
+planned as (
+  select s.domain, s.lang, s.source, budget, budget // greatest(tokens, 1) as whole,
+    budget - budget // greatest(tokens, 1) * tokens as rest
+  from sources s join leaves l on s.domain = l.domain and s.lang = l.lang and s.source = l.source where tokens > 0),
+ordered as (
+  select u.*, budget, whole, rest, coalesce(sum(n_tokens) over (partition by u.domain, u.lang, u.source
+    order by md5('0:' || whole || ':' || doc_id) rows between unbounded preceding and 1 preceding), 0) as before
+  from units u join planned p on u.domain = p.domain and u.lang = p.lang and u.source = p.source)
+select doc_id, unnest(range(copies::bigint))::int as epoch, n_tokens, budget::bigint as leaf_budget
+from (select *, whole + case when before < rest then 1 else 0 end as copies from ordered) where copies > 0
+"""
+
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_BASE32 = " || ".join(
+    f"substr('{_LETTERS}', (((('0x' || substr(hex, {5 * group + 1}, 5))::int >> {shift}) & 31) + 1)::int, 1)"
+    for group in range(8)
+    for shift in (15, 10, 5, 0)
+)
+
+OP10 = f"""
+with known as (select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as hex from pages),
+headed as (select *, max(page_id) over (partition by hex) as head from known)
+select page_id, strlen(payload)::bigint as payload_bytes, {_BASE32} as payload_digest,
+  case when page_id = head then 'response' else 'revisit' end as record_type,
+  case when page_id <> head then head end as refers_to
+from headed
+"""
+
+ORACLES: dict[str, str] = {"op4_mixing": OP4, "op10_warc": OP10}
