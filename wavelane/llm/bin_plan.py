@@ -102,8 +102,23 @@ def plan_bins(counts: dict[int, int], capacity: int, groups: int = 40, large: fl
         for q in queues:
             for n, c in q:
                 left[n] += c
-    runs = _best_fit(runs, sorted(((n, c) for n, c in left.items() if c), reverse=True), capacity)
-    return _slots(runs)
+    # Rounding up leaves room in bins. Bins of substituted pieces with more of it than a bound are opened
+    # again, and what they held goes best fit with the rest; of several bounds the one with the fewest bins
+    # counts, the loosest being to open none.
+    bounds = (capacity, capacity // 32, capacity // 128, capacity // 512, 0)
+    tries = [_finish(runs, left, capacity, bound) for bound in bounds]
+    return _slots(min(tries, key=lambda tried: sum(bins for bins, _ in tried)))
+
+
+def _finish(runs, left: dict[int, int], capacity: int, bound: int):
+    closed, pieces = [], defaultdict(int, left)
+    for bins, inside in runs:
+        if capacity - sum(n * each for n, each in inside) <= bound:
+            closed.append((bins, inside))
+        else:
+            for n, each in inside:
+                pieces[n] += bins * each
+    return _best_fit(closed, sorted(((n, c) for n, c in pieces.items() if c), reverse=True), capacity)
 
 
 def _equal_groups(pieces: list[tuple[int, int]], size: int) -> list[list[tuple[int, int]]]:
