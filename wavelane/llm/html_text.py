@@ -6,9 +6,9 @@ parent and child share a potential for agreeing or not. Messages go up the tree
 which gives each node's exact marginal. Stretches likelier content than not are the page's text.
 
 The model is trained from labelled pages (html and the text that is right): a stretch is content if the text
-holds it, an element if most of its characters are. Common names of page parts come in as a few made-up
-examples, so that parts the training pages lack, such as reader comments, are known too; they are weak, and
-what pages show outweighs them.
+holds it, an element if most of its characters are. Common names of page parts come in as short made-up
+pages, so that parts the training pages lack, such as reader comments, are known too, and that a paragraph
+alone is no sign of an article; together they weigh three fifths of the labelled pages.
 
 Defined results: null, empty or text-free html gives an empty text; broken or cut-off markup is read as far
 as it goes, open elements end with the page; pages of any length are read whole; repeated rows are extracted
@@ -51,8 +51,9 @@ NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 WORD = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 
-#: Weak examples: names of parts, as tag or in class and id, that are usually the article or usually not.
-USUALLY_CONTENT = "t:article t:main t:p t:h1 t:h2 t:h3 t:blockquote t:pre c:article c:content c:post c:entry c:main c:story".split()
+#: Made-up examples: names of parts, as tag or in class and id, that are usually the article or usually not.
+#: Paragraphs and lesser headings occur in both, what they are in decides.
+USUALLY_CONTENT = "t:article t:main t:h1 c:article c:content c:post c:entry c:main c:story".split()
 USUALLY_NOT = (
     "t:nav t:header t:footer t:aside t:form t:dialog t:menu c:ad c:ads c:advert c:advertisement c:sponsor c:sponsored c:banner "
     "c:promo c:nav c:navigation c:menu c:breadcrumb c:breadcrumbs c:sidebar c:aside c:widget c:footer c:header c:cookie c:cookies c:consent "
@@ -253,7 +254,19 @@ def train(labelled: list[tuple[str, str]], rounds: int = 300, ridge: float = 0.0
         for i in range(1, len(label)):
             nodes.append((page.features[i], label[i], 1.0))
             counts[page.text[i] is not None][label[page.parent[i]], label[i]] += 1
-    nodes += [([f], 1, 3.0) for f in USUALLY_CONTENT] + [([f], 0, 3.0) for f in USUALLY_NOT]
+    made_up = [(f, 1) for f in USUALLY_CONTENT] + [(f, 0) for f in USUALLY_NOT]
+    # Labelled pages show paragraphs as content enough, so there the made-up ones speak for the other parts.
+    whole, of_content = max(100.0, 0.6 * len(nodes)), 0.1 if nodes else 0.5
+    for name, kind in made_up:
+        each = of_content / len(USUALLY_CONTENT) if kind else (1 - of_content) / len(USUALLY_NOT)
+        importance_of_each = whole * each / 2
+        kept, _, word = name.partition(":")
+        open_, close = (f"<{word}>", f"</{word}>") if kept == "t" else (f'<div class="{word}">', "</div>")
+        page = parse(f"{open_}<p>{'some words of a reader or an author. ' * 2}</p><p>A few.</p>{close}")
+        for i in range(1, len(page.parent)):
+            nodes.append((page.features[i], kind, importance_of_each))
+            if page.parent[i]:
+                counts[page.text[i] is not None][kind, kind] += importance_of_each
     names = {f: k for k, f in enumerate(dict.fromkeys(f for features, _, _ in nodes for f in features))}
     row = np.concatenate([np.full(len(f), k) for k, (f, _, _) in enumerate(nodes)])
     column = np.array([names[f] for features, _, _ in nodes for f in features])

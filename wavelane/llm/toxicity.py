@@ -116,6 +116,28 @@ class Network:
         logit = pooled @ self.w["out"] + self.w["level"][0]
         return logit, (states, mixed, weight, pooled, memory)
 
+    def logits(self, table: np.ndarray, index: np.ndarray) -> np.ndarray:
+        """What ``read`` gives for windows of rows of ``table`` (row 0: padding), laid out by step, so that a
+        step's inputs lie side by side."""
+        h, order = HIDDEN, np.ascontiguousarray(index.T)
+        there = (order > 0).astype(np.float32)
+        padded = not there.all()
+        gates = table[order]
+        states = np.empty((*order.shape, 2 * h), np.float32)
+        for name, at, steps in (("ahead", 0, range(len(order))), ("back", 1, range(len(order) - 1, -1, -1))):
+            u, state = self.w[name], np.zeros((order.shape[1], h), np.float32)
+            for t in steps:
+                x, s = gates[t, :, 3 * h * at : 3 * h * (at + 1)], state @ u
+                zr = sigmoid(x[:, : 2 * h] + s[:, : 2 * h])
+                z = zr[:, :h] * there[t, :, None] if padded else zr[:, :h]
+                c = np.tanh(x[:, 2 * h :] + zr[:, h:] * s[:, 2 * h :])
+                state = state + z * (c - state)
+                states[t, :, h * at : h * (at + 1)] = state
+        weight = np.where(there > 0, np.tanh(states @ self.w["mix"]) @ self.w["look"], np.float32(-1e9))
+        weight = np.exp(weight - weight.max(axis=0))
+        pooled = np.einsum("tn,tnh->nh", weight, states) / weight.sum(axis=0)[:, None]
+        return pooled @ self.w["out"] + self.w["level"][0]
+
     def gradients(self, x: np.ndarray, index: np.ndarray, grams: list[list[list[int]]], there: np.ndarray, y: np.ndarray):
         """Loss and gradients for windows of word vectors ``x`` (windows, steps, inputs)."""
         w, h = self.w, HIDDEN
@@ -193,8 +215,7 @@ def score_texts(network: Network, gates: WordGates, texts: list[str | None]) ->
     def flush() -> None:
         if rows:
             index = np.concatenate(rows)
-            logit, _ = network.read(gates.table[index], (index > 0).astype(np.float32))
-            np.maximum.at(scores, np.concatenate(owners), sigmoid(logit))
+            np.maximum.at(scores, np.concatenate(owners), sigmoid(network.logits(gates.table, index)))
             owners.clear()
             rows.clear()
 
