@@ -256,7 +256,7 @@ def train(labelled: list[tuple[str, str]], rounds: int = 300, ridge: float = 0.0
             counts[page.text[i] is not None][label[page.parent[i]], label[i]] += 1
     made_up = [(f, 1) for f in USUALLY_CONTENT] + [(f, 0) for f in USUALLY_NOT]
     # Labelled pages show paragraphs as content enough, so there the made-up ones speak for the other parts.
-    whole, of_content = max(100.0, 0.6 * len(nodes)), 0.1 if nodes else 0.5
+    whole, of_content = max(100.0, 0.6 * len(nodes)), 0.3 if nodes else 0.5
     for name, kind in made_up:
         each = of_content / len(USUALLY_CONTENT) if kind else (1 - of_content) / len(USUALLY_NOT)
         importance_of_each = whole * each / 2
