@@ -320,8 +320,18 @@ steps as (
         FEATURES, f"select {_ALERT_COLUMNS} from features where spike_count = 0"
     ),
     "stream_features": _select(LABELLED + CLOSED, f"select {_ALERT_COLUMNS} from closed"),
+    "mart_table": _select(LABELLED + ANNOTATIONS + PAIRS + MARTS, "select * from patient_summary"),
+    "partition_scan": _select(
+        FEATURES,
+        f"select {_ALERT_COLUMNS} from features where patient_id = 'chb01' and event_date = '2024-01-11'",
+    ),
+    "stream_two_feeds": _select(
+        LABELLED + CLOSED,
+        f"select {_ALERT_COLUMNS} from closed union all select {_ALERT_COLUMNS} from closed",
+    ),
     "stream_alerts": _select(
         LABELLED + CLOSED,
         f"select {_ALERT_COLUMNS}, alert_reason from closed where alert_reason is not null",
     ),
 }
+ORACLES["wire_repeats"] = ORACLES["wire_roundtrip"]

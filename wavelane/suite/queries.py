@@ -5,6 +5,7 @@ Floating results are rounded to six places, since sums vary in their last digits
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,6 +67,12 @@ def wire_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wire.parse_messages(packed).select(*READING)
 
 
+def wire_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every reading delivered twice: the messages are the same as of one delivery."""
+    twice = inputs.indexed(spark, sf_dir)
+    return wire.parse_messages(wire.pack_messages(twice.union(twice))).select(*READING)
+
+
 def parse_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message per event, among payloads that are no messages: every document and every event's
     properties."""
@@ -334,6 +341,22 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(stored, *FEATURE_VALUES)
 
 
+def mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The patient summary as a catalog table, read by name."""
+    name = f"patient_summary_{uuid.uuid4().hex}"
+    labelled = inputs.labelled(spark, sf_dir)
+    sinks.save_mart(marts.patient_summary(labelled.drop("alert_reason"), features.alerts_only(labelled)), name)
+    return spark.table(name)
+
+
+def partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All features stored by patient and date, one patient's day read back."""
+    path = shared_dir(spark, "features")
+    sinks.append_table(inputs.features(spark, sf_dir), path)
+    day = sources.read_partition(spark, path, "chb01", "2024-01-11")
+    return _rounded(day, *FEATURE_VALUES)
+
+
 def conditional_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of the stored features after the windows with spikes are deleted."""
     path = shared_dir(spark, "features")
@@ -345,8 +368,9 @@ def conditional_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -----------------------------------------------------------------------------------
 
 
-def _monitored(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Run all events through the live monitor; returns the paths of features and alerts."""
+def _monitored(spark: SparkSession, sf_dir: str, feeds: int = 1) -> tuple[str, str]:
+    """Run all events through the live monitor, by each of ``feeds`` queries with a checkpoint of its own;
+    returns the paths of features and alerts."""
     body = F.struct(
         "patient_id",
         F.unix_millis(F.col("event_time").cast("timestamp")).alias("timestamp_ms"),
@@ -358,17 +382,18 @@ def _monitored(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     inputs.readings(spark, sf_dir).select(F.to_json(body).cast("binary").alias("value")).write.parquet(
         paths["messages"]
     )
-    query = monitor.start_monitor(
-        streams.file_messages(spark, paths["messages"]),
-        paths["features"],
-        paths["alerts"],
-        paths["state"],
-        WATCH,
-        state_partitions=spark.sparkContext.defaultParallelism,
-        drain=True,
-        partition_by=BY_DATE,
-    )
-    query.awaitTermination()
+    for feed in range(feeds):
+        query = monitor.start_monitor(
+            streams.file_messages(spark, paths["messages"]),
+            paths["features"],
+            paths["alerts"],
+            f"{paths['state']}-{feed}",
+            WATCH,
+            state_partitions=spark.sparkContext.defaultParallelism,
+            drain=True,
+            partition_by=BY_DATE,
+        )
+        query.awaitTermination()
     return paths["features"], paths["alerts"]
 
 
@@ -382,6 +407,12 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(stored, *FEATURE_VALUES).withColumns(_ntz("window_start", "window_end"))
 
 
+def stream_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two feeds with the same messages write one table: every window is there twice."""
+    stored = monitor.read_output(spark, _monitored(spark, sf_dir, feeds=2)[0])
+    return _rounded(stored, *FEATURE_VALUES).withColumns(_ntz("window_start", "window_end"))
+
+
 QUERIES: dict[str, Query] = {
     "window_features": window_features,
     "alert_label": alert_label,
@@ -415,4 +446,8 @@ QUERIES: dict[str, Query] = {
     "conditional_delete": conditional_delete,
     "stream_features": stream_features,
     "stream_alerts": stream_alerts,
+    "stream_two_feeds": stream_two_feeds,
+    "wire_repeats": wire_repeats,
+    "mart_table": mart_table,
+    "partition_scan": partition_scan,
 }
