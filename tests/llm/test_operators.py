@@ -263,6 +263,26 @@ def test_nearest_neighbours_recall_and_ties(spark):
     assert multi_index.search(table.limit(0), multi_index.F.lit(True)).count() == 0
 
 
+def check_nearest(found, ids, matrix):
+    """Every twentieth id's twenty nearest, in order, by brute force."""
+    mine = collections.defaultdict(list)
+    for r in sorted(rows_of(found), key=lambda r: (r["query_id"], r["rank"])):
+        mine[r["query_id"]].append((r["vec_id"], r["score"]))
+    asked = [i for i, q in enumerate(ids) if q % 20 == 0]
+    assert sorted(mine) == sorted(ids[i] for i in asked)
+    for i in asked:
+        score = (matrix * matrix[i]).sum(axis=1)
+        order = [k for k in np.lexsort((ids, -score)) if k != i][:20]
+        assert mine[ids[i]] == [(ids[k], score[k]) for k in order]
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_nearest_query_equals_brute_force(spark, sf):
+    table = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").toPandas()
+    found = QUERIES["op2_multi_index"](spark, f"/root/testdata/{sf}")
+    check_nearest(found, table["vec_id"].to_numpy(), np.stack(table["embedding"]).astype(float))
+
+
 def test_html_text_of_odd_pages(spark):
     page = "<html><body><nav><a>menu</a></nav><article><h1>Title &amp; more</h1><p>First  paragraph of\n the article.<p>Second &lt;one&gt;.</article><div class='comments'><p>Nice!</p></div><footer>foot</footer>"
     rows = [(1, "u", page), (1, "u", page), (2, None, None), (3, "", ""), (4, "x", "<p"), (5, "y", "<script>only"), (None, "z", "plain text that is not marked up at all.")]

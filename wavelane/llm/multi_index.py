@@ -3,11 +3,14 @@
 Vectors are cut into halves, each half has its own centroids, and a cell is a pair of centroids, so a few
 hundred centroids make many fine cells. A query walks the pairs from the nearest on with a heap over the two
 sorted lists, summing the halves' distances (how far their inner product falls short of the best one), until
-the cells hold enough candidates; these are reranked by the exact inner product in double precision.
+the cells hold enough candidates; these are reranked by the exact inner product in double precision. That
+gives each query a k-th score. In a second round it looks at all other cells that can hold a row as good: the
+centroids' inner products and the cells' radii bound what a row in them can score. Nothing else ends a search,
+so the result is the exact one on any table, with copies or without.
 
-Every row is indexed. Centroids are fitted on a bounded sample. A cell with many rows (one vector may be a
-third of the table) is cut into blocks, and queries are dealt to blocks too, so a group of rows that meet in
-a task is bounded on both sides.
+Every row is indexed. Centroids are fitted on a bounded sample. Neighbouring cells share a block; a cell with
+many rows (one vector may be a third of the table) has several, and queries are dealt to parts too, so a
+group of rows that meet in a task is bounded on both sides.
 
 Defined results: vectors that are null, zero, of another length than most, or that hold null or non-finite
 components take no part; of rows with one id the least vector counts; a null id takes no part; equal scores
@@ -23,12 +26,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from wavelane.llm.common import hashed_sample, store
 
-BLOCK_ROWS = 4096
+BLOCK_ROWS = (1024, 16_384)
 BLOCK_QUERIES = 20_000
 
 
@@ -69,6 +72,20 @@ def walk(first: np.ndarray, second: np.ndarray, sizes: dict[int, int], wanted: i
     return cells
 
 
+def blocks_of(sizes: dict[int, int], most: int) -> dict[int, range]:
+    """The blocks of each cell: neighbours share one of at most ``most`` rows, a cell of more has its own."""
+    blocks, last, room = {}, -1, 0
+    for cell, n in sorted(sizes.items()):
+        count = -(-n // most)
+        if n > room:
+            blocks[cell] = range(last + 1, last + 1 + count)
+            last, room = last + count, most - n if count == 1 else 0
+        else:
+            blocks[cell] = range(last, last + 1)
+            room -= n
+    return blocks
+
+
 @dataclass(frozen=True)
 class MultiIndex:
     left: np.ndarray
@@ -84,6 +101,32 @@ class MultiIndex:
         a, b = self.left @ query[:half], self.right @ query[half:]
         return a.max() - a, b.max() - b
 
+    def radii(self, vectors: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        half, (i, j) = self.left.shape[1], np.divmod(cell, len(self.right))
+        return np.linalg.norm(vectors[:, :half] - self.left[i], axis=1), np.linalg.norm(vectors[:, half:] - self.right[j], axis=1)
+
+
+class Bounds:
+    """What a row of each cell can score at most, from the cells' rows (cell, left, right), the largest radii."""
+
+    def __init__(self, index: MultiIndex, cells: list[Row], blocks: dict[int, range]):
+        self.index, self.half = index, index.left.shape[1]
+        self.i, self.j = np.divmod(np.array([c["cell"] for c in cells], dtype=int), len(index.right))
+        self.left, self.right = (np.array([c[k] for c in cells], dtype=float) for k in ("left", "right"))
+        norms = np.linalg.norm(index.left, axis=1)[self.i] + self.left + np.linalg.norm(index.right, axis=1)[self.j] + self.right
+        self.reach = norms.max(initial=0.0)
+        self.at = np.array([k for k, c in enumerate(cells) for _ in blocks[c["cell"]]], dtype=int)
+        self.block = np.array([b for c in cells for b in blocks[c["cell"]]], dtype=int)
+
+    def blocks(self, query: np.ndarray, score: float) -> np.ndarray:
+        """Blocks that can hold a row of at least ``score``."""
+        a, b = query[: self.half], query[self.half :]
+        most = (self.index.left @ a)[self.i] + (self.index.right @ b)[self.j]
+        most += np.linalg.norm(a) * self.left + np.linalg.norm(b) * self.right
+        # Products round differently from place to place.
+        most += 1e-9 * (1 + np.linalg.norm(query) * self.reach)
+        return np.unique(self.block[~(most < score)[self.at]])
+
 
 def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
     """vec_id and vector (doubles) of the rows that take part, one per id."""
@@ -108,12 +151,13 @@ def fit(rows: DataFrame, count: int, max_training_rows: int = 20_000) -> MultiIn
     return MultiIndex(centroids(vectors[:, :half], k), centroids(right, k) if right.shape[1] else np.zeros((1, 0)), dimension)
 
 
-def search(rows: DataFrame, is_query: Column, k: int = 20, share: float = 0.6, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score: the ``k`` nearest found of each row on whose vec_id ``is_query`` holds.
+def search(rows: DataFrame, is_query: Column, k: int = 20, share: float = 0.05, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """query_id, rank, vec_id, score: the ``k`` nearest of each row on whose vec_id ``is_query`` holds.
 
-    Cells are walked until they hold ``share`` of all rows. Vectors with structure need a few hundredths;
-    directions at random in 64 dimensions, where the nearest of 50,000 is at a cosine of 0.4, need the half
-    of all rows for a recall of 0.9, whatever the index."""
+    In the first round cells are walked until they hold ``share`` of all rows, in the second all cells are
+    looked at that can hold one of the ``k`` nearest. ``share`` has no part in what is found, only in what it
+    costs: vectors with structure leave little for the second round; directions at random in 64 dimensions,
+    where the nearest of 50,000 is at a cosine of 0.4, leave it all rows, whatever the index."""
     known = store(usable(rows, key, vector), "ann-rows")
     count = known.count()
     index = fit(known, count)
@@ -126,64 +170,89 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, share: float = 0.6, k
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                batch["cell"] = index.cell(np.stack(batch["vector"]))
+                vectors = np.stack(batch["vector"])
+                batch["cell"] = index.cell(vectors)
+                batch["left"], batch["right"] = index.radii(vectors, batch["cell"].to_numpy())
                 yield batch
 
-    placed = store(fitting.mapInPandas(assign, "vec_id long, vector array<double>, cell long"), "ann-cells")
+    placed = store(fitting.mapInPandas(assign, "vec_id long, vector array<double>, cell long, left double, right double"), "ann-cells")
     # At most one row per pair of centroids.
-    sizes = {r["cell"]: r["n"] for r in placed.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    queries = placed.where(is_query)
-    query_blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
+    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("left").alias("left"), F.max("right").alias("right")).collect()
+    sizes = {r["cell"]: r["n"] for r in cells}
+    blocks = blocks_of(sizes, int(np.clip(count // 64, *BLOCK_ROWS)))
+    bounds = Bounds(index, cells, blocks)
+    queries = placed.where(is_query).select("vec_id", "vector")
+    parts = max(1, -(-queries.count() // BLOCK_QUERIES))
+    probe = "block long, part long, query_id long, query array<double>, floor double"
+
+    def asked(batch: pd.DataFrame, chosen) -> Iterator[pd.DataFrame]:
+        """``chosen`` gives the blocks to look at and the score to reach, from a row of the batch."""
+        for at in range(0, len(batch), 100):
+            few = [(r, *chosen(r)) for r in batch.iloc[at : at + 100].itertuples()]
+            rows = [(b, r.vec_id % parts, r.vec_id, r.vector, floor) for r, looked_at, floor in few for b in looked_at]
+            if rows:
+                yield pd.DataFrame(rows, columns=["block", "part", "query_id", "query", "floor"])
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def chosen(r) -> tuple[list[int], float]:
+            walked = walk(*index.distances(np.asarray(r.vector)), sizes, wanted)
+            return sorted({b for c in walked for b in blocks[c]}), -np.inf
 
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for vec_id, query in zip(batch["vec_id"], batch["vector"]):
-                cells = walk(*index.distances(np.asarray(query)), sizes, wanted)
-                blocks = [(c, b) for c in cells for b in range(-(-sizes[c] // BLOCK_ROWS))]
-                yield pd.DataFrame(
-                    {
-                        "cell": [c for c, _ in blocks],
-                        "block": [b for _, b in blocks],
-                        "part": vec_id % query_blocks,
-                        "query_id": vec_id,
-                        "query": [query] * len(blocks),
-                    }
-                )
+            yield from asked(batch, chosen)
+
+    def second(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def chosen(r) -> tuple[list[int], float]:
+            return np.setdiff1d(bounds.blocks(np.asarray(r.vector), r.floor), r.seen).tolist(), r.floor
+
+        for batch in batches:
+            yield from asked(batch, chosen)
 
     def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                blocks = np.array([-(-sizes[c] // BLOCK_ROWS) for c in batch["cell"]])
-                batch["block"] = (batch["vec_id"].to_numpy() * 2654435761 % (1 << 32)) % blocks
-                yield batch
+                own = [blocks[c] for c in batch["cell"]]
+                turn = (batch["vec_id"].to_numpy() * 2654435761 % (1 << 32)) % np.array([len(b) for b in own])
+                batch["block"] = np.array([b[0] for b in own]) + turn
+                yield batch[["vec_id", "vector", "block"]]
 
-    probes = queries.mapInPandas(probe, "cell long, block long, part long, query_id long, query array<double>")
-    entries = placed.mapInPandas(dealt, "vec_id long, vector array<double>, cell long, block long").withColumn(
-        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long")))
+    entries = placed.mapInPandas(dealt, "vec_id long, vector array<double>, block long").withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
     )
 
     def rerank(group: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(group) and len(asked):
             ids, vectors = group["vec_id"].to_numpy(), np.stack(group["vector"])
+            block, reach = group["block"].iloc[0], np.linalg.norm(vectors, axis=1).max()
             for at in range(0, len(asked), 256):
                 part = asked.iloc[at : at + 256]
                 rough = np.stack(part["query"]) @ vectors.T
-                for query_id, query, about in zip(part["query_id"], part["query"], rough):
+                for query_id, query, floor, about in zip(part["query_id"], part["query"], part["floor"], rough):
                     # The matrix product rounds differently from place to place: it picks, the sum decides.
-                    bound = np.partition(about, -k - 1)[-k - 1] - 1e-9 if len(about) > k + 1 else -np.inf
-                    near = np.flatnonzero((about >= bound) & (ids != query_id))
+                    if floor == -np.inf and len(about) > k + 1:
+                        floor = np.partition(about, -k - 1)[-k - 1]
+                    near = np.flatnonzero(~(about < floor - 1e-9 * (1 + np.linalg.norm(query) * reach)) & (ids != query_id))
                     scores = (vectors[near] * query).sum(axis=1)
                     best = np.lexsort((ids[near], -scores))[:k]
-                    out.append((query_id, ids[near][best], scores[best]))
-        return pd.DataFrame(out, columns=["query_id", "ids", "scores"])
-
-    keys = ["cell", "block", "part"]
-    found = entries.groupBy(*keys).cogroup(probes.groupBy(*keys)).applyInPandas(
-        rerank, "query_id long, ids array<long>, scores array<double>"
-    )
-    # A query's lists: one per cell it walked, each at most k long.
-    merged = found.select("query_id", F.arrays_zip((F.transform("scores", lambda s: -s)).alias("far"), F.col("ids").alias("id")).alias("x"))
-    merged = merged.groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("x"))), 1, k).alias("x"))
-    ranked = merged.select("query_id", F.posexplode("x").alias("at", "x"))
+                    out.append((query_id, block, ids[near][best], scores[best]))
+        return pd.DataFrame(out, columns=["query_id", "block", "ids", "scores"])
+
+    def found(probes: DataFrame) -> DataFrame:
+        keys = ["block", "part"]
+        return entries.groupBy(*keys).cogroup(probes.groupBy(*keys)).applyInPandas(
+            rerank, "query_id long, block long, ids array<long>, scores array<double>"
+        )
+
+    def merged(lists: DataFrame) -> DataFrame:
+        """A query's lists are one per block it looked at, each at most k long."""
+        zipped = lists.select("query_id", "block", F.arrays_zip((F.transform("scores", lambda s: -s)).alias("far"), F.col("ids").alias("id")).alias("x"))
+        best = F.slice(F.array_sort(F.flatten(F.collect_list("x"))), 1, k)
+        return zipped.groupBy("query_id").agg(best.alias("x"), F.collect_list("block").alias("seen"))
+
+    near = store(found(queries.mapInPandas(first, probe)), "ann-near")
+    floor = F.when(F.size("x") >= k, -F.col("x")[k - 1]["far"]).otherwise(F.lit(float("-inf")))
+    begun = merged(near).select(F.col("query_id").alias("vec_id"), floor.alias("floor"), "seen")
+    rest = found(queries.join(begun, "vec_id").mapInPandas(second, probe)).where(F.size("ids") > 0)
+    ranked = merged(near.unionByName(rest)).select("query_id", F.posexplode("x").alias("at", "x"))
     return ranked.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.id").alias("vec_id"), (-F.col("x.far")).alias("score"))
