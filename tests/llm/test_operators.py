@@ -283,6 +283,15 @@ def test_nearest_query_equals_brute_force(spark, sf):
     check_nearest(found, table["vec_id"].to_numpy(), np.stack(table["embedding"]).astype(float))
 
 
+def test_nearest_neighbours_beside_many_copies(spark):
+    """A vector held by a third of all rows takes nothing from the searches of the others."""
+    x = np.random.default_rng(5).normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[::3] = x[0]
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    check_nearest(multi_index.search(table, multi_index.F.col("vec_id") % 20 == 0), np.arange(3000), x)
+
+
 def test_html_text_of_odd_pages(spark):
     page = "<html><body><nav><a>menu</a></nav><article><h1>Title &amp; more</h1><p>First  paragraph of\n the article.<p>Second &lt;one&gt;.</article><div class='comments'><p>Nice!</p></div><footer>foot</footer>"
     rows = [(1, "u", page), (1, "u", page), (2, None, None), (3, "", ""), (4, "x", "<p"), (5, "y", "<script>only"), (None, "z", "plain text that is not marked up at all.")]
