@@ -303,6 +303,25 @@ def test_html_text_of_odd_pages(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in found) and len(found) == len(rows)
 
 
+@pytest.mark.parametrize(
+    "source, lines",
+    [
+        ("<html><head><title>t</title><meta charset=utf-8><p>One.</p><p>Two.</p>", ["One.", "Two."]),
+        ("<head><title>t</title>Bare words", ["Bare words"]),
+        ("<head><template><p>no</p></template><style>a</style></head><body><p>One.</p></body>", ["One."]),
+        ("<article><p>One.</p><button>Share<p>Two.</p><p>Three.</p></article>", ["One.", "Two.", "Three."]),
+        ("<article><p>One.</p><svg><path d=''><text>no</text><p>Two.</p></article><p>Three.</p>", ["One.", "Two.", "Three."]),
+        ("<div><p>One.</p><div><object><param name=a>no</div><p>Two.</p></div><p>Three.</p>", ["One.", "Two.", "Three."]),
+        ("<div><button>no</div><p>One.</p><div></button></div><p>Two.</p>", ["One.", "Two."]),
+        ("<div>One.<button><div>no</div><svg><g>no</g></svg>no</button> Two.</div>", ["One. Two."]),
+        ("<p>One.<button>no<button>no</button> Two.</p>", ["One. Two."]),
+        ("<p>One.</p><svg><button>no</button>no</svg><p>Two.</p>", ["One.", "Two."]),
+    ],
+)
+def test_hidden_elements_end_where_they_end(source, lines):
+    assert [t for t in html_text.parse(source).text if t is not None] == lines
+
+
 def test_html_query_equals_the_article(spark):
     pages = dict(duckdb.sql(f"select page_id, html from '{SF_DIR}/pages.parquet'").fetchall())
     for r in rows_of(QUERIES["op3_html_text"](spark, SF_DIR)):

@@ -11,7 +11,9 @@ pages, so that parts the training pages lack, such as reader comments, are known
 alone is no sign of an article; together they weigh three fifths of the labelled pages.
 
 Defined results: null, empty or text-free html gives an empty text; broken or cut-off markup is read as far
-as it goes, open elements end with the page; pages of any length are read whole; repeated rows are extracted
+as it goes, open elements end with the page; an element that is never read (buttons, drawings, the head) ends
+at its own end tag or that of a block around it, without an end tag at the next block, and a head at the first
+thing that can't be in one; pages of any length are read whole; repeated rows are extracted
 each; without labelled pages the made-up examples decide; extra columns are not looked at.
 """
 
@@ -35,6 +37,7 @@ from wavelane.llm.common import hashed_sample
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("script style noscript template head title iframe object svg canvas select textarea button".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 CLOSES = {
     "li": ("li", ("ul", "ol", "menu")),
@@ -47,6 +50,7 @@ CLOSES = {
     "option": ("option", ("select",)),
 }
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+BREAKS = ENDS_P | CLOSES.keys() - {"option"} | {"body", "caption", "html", "tbody", "tfoot", "thead"}
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile(r"[a-z]+")
@@ -72,10 +76,36 @@ class Page:
     text: list[str | None] = field(default_factory=lambda: [None])
 
 
+def _tags(source: str) -> tuple[list[tuple[int, int, str, bool, str]], set[int]]:
+    """Every tag (begin, end, name, closing, attributes), an element of raw text being one tag, and the numbers
+    of those that open an unseen element which has an end tag."""
+    tags, closed, at = [], set(), 0
+    begun: dict[str, list[int]] = {}
+    for m in TAG.finditer(source):
+        if m.start() < at:
+            continue
+        at = m.end()
+        tag, closing, attributes = (m[2] or m[5] or "").lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
+        if tag in UNSEEN and closing:
+            if begun.get(tag):
+                closed.add(begun[tag].pop())
+        elif tag in UNSEEN and not attributes.endswith("/"):
+            if tag in RAW:  # its end is searched for as text
+                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
+                at = end.end() if end else len(source)
+            else:
+                opened = begun.setdefault(tag, [])
+                if tag in ("button", "select"):  # these don't nest
+                    opened.clear()
+                opened.append(len(tags))
+        tags.append((m.start(), at, tag, closing, attributes))
+    return tags, closed
+
+
 def parse(source: str | None) -> Page:
     page, source = Page(), source or ""
     stack: list[tuple[str, int]] = [("#page", 0)]  # open block elements and their nodes
-    hidden = 0  # depth of open elements that are never read
+    hidden: list[tuple[str, bool, Counter]] = []  # open elements that are never read: has an end tag, tags open inside
     parts: list[str] = []
     linked = 0
     in_link = False
@@ -102,40 +132,55 @@ def parse(source: str | None) -> Page:
         linked = 0
 
     def close_to(depth: int) -> None:
-        nonlocal hidden
         flush()
         del stack[depth:]
 
+    def ends_hidden(tag: str, closing: bool) -> bool:
+        """Whether a tag that can be seen ends the innermost hidden element."""
+        name, has_end, inner = hidden[-1]
+        around = closing and any(t == tag for t, _ in stack)
+        if name == "head":
+            return around if closing else tag not in IN_HEAD
+        if not has_end:
+            return tag in BREAKS
+        if closing and inner[tag]:
+            inner[tag] -= 1
+            return False
+        if not closing and tag != "body":
+            inner[tag] += 1
+            return False
+        return around or not closing
+
     at, n = 0, len(source)
-    skip_until = None
-    for m in TAG.finditer(source):
-        if m.start() < at:
-            continue
-        if not hidden and m.start() > at:
-            piece = source[at : m.start()]
+    tags, closed = _tags(source)
+    for number, (begin, end, tag, closing, attributes) in enumerate(tags):
+        if hidden and hidden[-1][0] == "head" and source[at:begin].strip():
+            hidden.pop()
+        if not hidden and begin > at:
+            piece = source[at:begin]
             parts.append(piece)
             if in_link:
                 linked += len(piece.strip())
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
+        at = end
         if not tag:
             continue
-        closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
         if tag in UNSEEN:
+            if tag in RAW or attributes.endswith("/"):
+                continue
+            names = [name for name, _, _ in hidden]
             if closing:
-                hidden = max(0, hidden - 1)
-            elif not attributes.endswith("/"):
-                if tag in RAW:  # its end is searched for as text
-                    end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
-                    at = end.end() if end else n
-                else:
-                    hidden += 1
+                if tag in names:
+                    del hidden[len(names) - 1 - names[::-1].index(tag) :]
+                continue
+            if names and (tag not in IN_HEAD if names[-1] == "head" else tag == names[-1] and tag in ("button", "select")):
+                hidden.pop()
+            if not hidden or hidden[-1][0] == "head" or number in closed:
+                hidden.append((tag, number in closed, Counter()))
             continue
+        while hidden and ends_hidden(tag, closing):
+            hidden.pop()
         if hidden:
-            if tag == "body" and not closing:
-                hidden = 0
-            else:
-                continue
+            continue
         if tag == "br":
             parts.append(" ")
             continue
@@ -173,7 +218,7 @@ def parse(source: str | None) -> Page:
         page.text.append(None)
         page.features.append([f"t:{tag}", *(f"c:{w}" for w in dict.fromkeys(names))])
         stack.append((tag, len(page.parent) - 1))
-    if at < n and not hidden:
+    if at < n and (not hidden or hidden[-1][0] == "head"):
         parts.append(source[at:])
     flush()
     return page
