@@ -14,7 +14,7 @@ import pytest
 import corpus_pipeline
 from wavelane.llm import html_text, mixing, multi_index, near_dedup, packing, quality_rules, repeats, toxicity, url_filter, warc
 from wavelane.llm.bin_plan import plan_bins
-from wavelane.llm.queries import QUERIES, domain_of_source, tokenizer_path
+from wavelane.llm.queries import QUERIES, domain_of_source, labelled_pages, tokenizer_path
 from wavelane.llm.suffix_array import suffix_array
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -322,6 +322,20 @@ def test_hidden_elements_end_where_they_end(source, lines):
     assert [t for t in html_text.parse(source).text if t is not None] == lines
 
 
+def test_labelled_pages_are_short_and_one_of_each_id(spark, tmp_path):
+    page = lambda n, words="": f"<article><p>Text {n} of the article, as long as it is.{words}</p></article>"
+    pages = [(k, f"http://a.b/{k}", page(k)) for k in range(6)] + [(1, "http://a.b/1", page(1))] * 3
+    pages += [(None, "http://a.b/2", page(2)), (None, "http://a.b/3", page(3)), (7, "http://a.b/4", page(4, " more" * 30_000)), (8, "http://a.b/5", None)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    docs = [(k, f"Text {k} of the article, as long as it is.") for k in range(6)] + [(3, "Another text with this id.")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    few = rows_of(labelled_pages(spark, str(tmp_path)))
+    assert sorted(r["page_id"] for r in few) == [0, 1, 2, 3, 3, 4, 5]
+    assert max(len(r["html"]) for r in few) < 100
+    found = rows_of(QUERIES["op3_html_text"](spark, str(tmp_path)))
+    assert sorted(map(str, (r["page_id"] for r in found))) == sorted(str(p[0]) for p in pages)
+
+
 def test_html_query_equals_the_article(spark):
     pages = dict(duckdb.sql(f"select page_id, html from '{SF_DIR}/pages.parquet'").fetchall())
     for r in rows_of(QUERIES["op3_html_text"](spark, SF_DIR)):

@@ -56,6 +56,9 @@ NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 WORD = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 
+#: Longer pages and texts are not trained on.
+MAX_CHARS = 100_000
+
 #: Made-up examples: names of parts, as tag or in class and id, that are usually the article or usually not.
 #: Paragraphs and lesser headings occur in both, what they are in decides.
 USUALLY_CONTENT = "t:article t:main t:h1 c:article c:content c:post c:entry c:main c:story".split()
@@ -325,12 +328,22 @@ def train(labelled: list[tuple[str, str]], rounds: int = 300, ridge: float = 0.0
     return Model({f: float(w[k]) for f, k in names.items()}, (pair[0], pair[1]))
 
 
-def fit(labelled: DataFrame, max_training_rows: int = 300, max_chars: int = 100_000) -> Model:
-    """Train from rows (page_id, html, text), about ``max_training_rows`` at most, chosen by a hash of the
-    page_id, none longer than ``max_chars``: they are what the driver gets."""
+def one_of_each(pages: DataFrame, max_pages: int, *others: str) -> DataFrame:
+    """page_id, html and ``others`` of about ``max_pages`` page_ids at most, chosen by their hash: of rows with one
+    page_id the least by html and ``others``, rows with a null page_id left out."""
+    known = pages.where("page_id is not null")
+    few = hashed_sample(known.select("page_id").distinct(), "page_id", max_pages)
+    # At most about max_pages numbers: the bound of this broadcast.
+    rows = known.join(F.broadcast(few), "page_id", "left_semi").groupBy("page_id")
+    return rows.agg(F.min(F.struct("html", *others)).alias("x")).select("page_id", "x.*")
+
+
+def fit(labelled: DataFrame, max_training_rows: int = 300, max_chars: int = MAX_CHARS) -> Model:
+    """Train from rows (page_id, html, text), one of each of about ``max_training_rows`` page_ids at most, none
+    longer than ``max_chars``: they are what the driver gets."""
     short = labelled.where((F.length("html") <= max_chars) & (F.length("text") <= max_chars))
-    rows = hashed_sample(short, "page_id", max_training_rows).select("page_id", "html", "text").toArrow().to_pylist()
-    return train([(r["html"], r["text"]) for r in sorted(rows, key=lambda r: (r["page_id"], r["html"]))])
+    rows = one_of_each(short, max_training_rows, "text").toArrow().to_pylist()
+    return train([(r["html"], r["text"]) for r in sorted(rows, key=lambda r: r["page_id"])])
 
 
 def extract_pages(pages: DataFrame, model: Model) -> DataFrame:

@@ -33,8 +33,9 @@ def labelled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages and their right text: the number at the end of a url's path names the document the page shows."""
     number = F.regexp_extract("url", r"^[^?#]*/([0-9]+)", 1).try_cast("long")
     pages = read(spark, sf_dir, "pages").select("page_id", "html", number.alias("doc_id"))
-    few = html_text.hashed_sample(pages.where("doc_id is not null"), "page_id", 300)
-    # At most about 300 rows: the bound of this broadcast.
+    short = pages.where(F.col("doc_id").isNotNull() & (F.length("html") <= html_text.MAX_CHARS))
+    few = html_text.one_of_each(short, 300, "doc_id")
+    # About 300 rows at most, of at most MAX_CHARS characters: the bound of this broadcast.
     return read(spark, sf_dir, "documents").select("doc_id", "text").join(F.broadcast(few), "doc_id")
 
 
