@@ -157,6 +157,15 @@ def test_repeats_equal_brute_force(spark, odd_docs, no_docs, monkeypatch, hot):
     assert repeats.remove_repeats(no_docs, ["doc_id"]).count() == 0
 
 
+def test_cuts_keep_replacement_characters_of_the_text(spark):
+    passage = made_up(9, 80)
+    own = "own \ufffd mark "
+    rows = [(1, own + "\u00e9" + passage + "\u00e9 tail \ufffd"), (2, "\u0129" + passage + "\u00e8 more"), (3, "none \ufffd here")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in rows_of(repeats.without_repeats(table))}
+    assert found == {1: own + " tail \ufffd", 2: " more", 3: "none \ufffd here"}
+
+
 def test_suffix_array_equals_sorting():
     rng = random.Random(0)
     for _ in range(300):

@@ -355,9 +355,12 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     np.add.at(edge, np.array([c["low"] for c in cut], np.int64), 1)
                     np.add.at(edge, np.array([c["high"] for c in cut], np.int64), -1)
                 gone = np.cumsum(edge)[:-1] > 0
-                kept = data[~gone].tobytes()
+                digest = hashlib.sha256(data[~gone].tobytes()).hexdigest()
+                # Each byte with its character: one that a cut went through goes whole.
+                character = np.cumsum((data & 0xC0) != 0x80)
+                kept = data[np.bincount(character, gone)[character] == 0].tobytes()
                 spans = int(np.count_nonzero(gone & ~np.r_[False, gone[:-1]])) if n else 0
-                out.append((n, int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
+                out.append((n, int(gone.sum()), spans, digest, kept))
             columns = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [part.column("row"), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())))],
@@ -367,7 +370,8 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame, carry: list[str], keep_bytes: bool = False) -> DataFrame:
     """Per row of ``docs``: ``row`` (a struct of the columns ``carry``), n_bytes, n_removed, n_spans,
-    kept_sha256 and, if asked for, ``kept``: the remaining bytes."""
+    kept_sha256 (of the remaining bytes) and, if asked for, ``kept``: these without the bytes of characters that
+    a cut went through."""
     text = F.coalesce("text", F.lit(""))
     known = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("doc"),
@@ -433,7 +437,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     cut = remove_repeats(docs, others, keep_bytes=True)
     text = F.try_validate_utf8(F.col("kept").cast("string"))
     text = F.coalesce(text, F.make_valid_utf8(F.col("kept").cast("string")))
-    text = F.when(F.col("n_removed") > 0, F.replace(text, F.lit("�"), F.lit(""))).otherwise(text)
     cleaned = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_bytes"))).select("row", text.alias("text"))
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return cleaned.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])
