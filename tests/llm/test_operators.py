@@ -14,6 +14,7 @@ import pytest
 import corpus_pipeline
 from wavelane.llm import html_text, mixing, multi_index, near_dedup, packing, quality_rules, repeats, toxicity, url_filter, warc
 from wavelane.llm.bin_plan import plan_bins
+from wavelane.llm.common import read, store
 from wavelane.llm.queries import QUERIES, domain_of_source, labelled_pages, tokenizer_path
 from wavelane.llm.suffix_array import suffix_array
 
@@ -424,3 +425,39 @@ def test_pipeline_stages_take_odd_and_empty_tables(spark, odd_docs, no_docs):
                 assert out.columns == docs.columns
             docs = out
         assert docs.columns[:2] == ["doc_id", "piece"]
+
+
+def test_pipeline_stages_keep_what_they_should(spark):
+    """Each stage's input and output on a whole table, against plain versions."""
+    sf_dir = "/root/testdata/sf0.001"
+    stages = [read(spark, sf_dir, "documents")]
+    for name, stage in corpus_pipeline.STAGES:
+        stages.append(store(stage(spark, stages[-1], sf_dir), f"test-{name.replace(' ', '-')}"))
+    raw, good, single, cut, mixed = (rows_of(x) for x in stages[:5])
+    rules = quality_rules.fit_from_labels(stages[0], read(spark, sf_dir, "labels"))
+    judged = rows_of(quality_rules.judge(stages[0], rules))
+    check_base_counts(judged, {r["doc_id"]: r["text"] for r in raw})
+    assert len(judged) == len(raw)
+    assert sorted(r["doc_id"] for r in good) == sorted(r["doc_id"] for r in judged if r["kept"])
+
+    sets = {r["doc_id"]: shingles(r["text"]) for r in good}
+    top = {k: k for k in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in links:
+            top[a] = top[b] = min(top[a], top[b])
+    assert sorted(r["doc_id"] for r in single) == sorted(k for k, v in top.items() if k == v)
+
+    texts, left = {r["doc_id"]: r["text"] for r in single}, {r["doc_id"]: r["text"] for r in cut}
+    by_hand = {doc_id: (n, gone, digest) for doc_id, n, gone, _, digest in cut_by_hand(single)}
+    assert sorted(left) == sorted(k for k, (n, gone, _) in by_hand.items() if gone == 0 or gone < n)
+    for doc_id, text in left.items():
+        n, gone, digest = by_hand[doc_id]
+        assert gone or text == texts[doc_id]
+        if len(text.encode()) == n - gone:  # no character was cut through
+            assert hashlib.sha256(text.encode()).hexdigest() == digest
+        else:
+            assert n - gone - 6 * (gone // 200 + 1) <= len(text.encode()) < n - gone
+    assert {r["doc_id"] for r in mixed} <= set(left) and len({r["doc_id"] for r in mixed}) == len(mixed)
+    assert all(r["text"] == left[r["doc_id"]] for r in mixed)
+    assert {r["doc_id"] for r in rows_of(stages[5])} == {r["doc_id"] for r in mixed if r["text"]}
