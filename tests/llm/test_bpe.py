@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from wavelane.llm import bpe_rounds
-from wavelane.llm.common import read
+from wavelane.llm.common import byte_steps, read
 from wavelane.llm.queries import QUERIES, tokenizer_path
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -76,5 +76,5 @@ def test_each_code_point_is_cut_like_the_library(tokenizer):
 
 def test_batches_are_taken_in_steps_of_bytes():
     batch = bpe_rounds.pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4], "text": [b"abc", None, b"defg", b"h" * 50]})
-    assert [s.num_rows for s in bpe_rounds._steps(batch, "text", 5)] == [2, 1, 1]
-    assert [s.num_rows for s in bpe_rounds._steps(batch.slice(0, 0), "text", 5)] == [0]
+    assert [s.num_rows for s in byte_steps(batch, "text", 5)] == [2, 1, 1]
+    assert [s.num_rows for s in byte_steps(batch.slice(0, 0), "text", 5)] == [0]

@@ -22,15 +22,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wavelane.llm.common import byte_steps
+
 # The cut into words of byte-level BPE: fixed.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NEVER = np.iinfo(np.int64).max
-STEP = 1 << 21
 
 
 def _alphabet() -> dict[str, int]:
@@ -196,15 +196,6 @@ def _merges(path: str) -> Merges:
     return Merges(path)
 
 
-def _steps(batch: pa.RecordBatch, column: str, size: int = STEP) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``size`` bytes of a column, one row at least."""
-    lengths = np.array([0 if x is None else x for x in pc.binary_length(batch.column(column)).to_pylist()], np.int64)
-    step = np.cumsum(lengths) // size
-    edges = [0, *(np.flatnonzero(step[1:] != step[:-1]) + 1).tolist(), batch.num_rows]
-    for begin, stop in zip(edges, edges[1:]):
-        yield batch.slice(begin, stop - begin)
-
-
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """doc_id and ``ids``: the text's ids as little-endian unsigned 32-bit numbers. The vocabulary file must
     lie at ``path`` on every machine."""
@@ -214,7 +205,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         merges = _merges(path)
         plain, exact = regex.compile(WORD).findall, regex.compile(pattern).findall
         for batch in batches:
-            for part in _steps(batch, "text"):
+            for part in byte_steps(batch, "text"):
                 raw = [x or b"" for x in part.column("text").to_pylist()]
                 young = any(np.frombuffer(x, np.uint8).max(initial=0) >= odd_from for x in raw)
                 ids = merges.encode([x.decode("utf-8", "replace") for x in raw], exact if young else plain)
@@ -229,7 +220,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = _merges(path)
         for batch in batches:
-            for part in _steps(batch, "ids"):
+            for part in byte_steps(batch, "ids"):
                 texts = merges.decode([x or b"" for x in part.column("ids").to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
 

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,3 +71,13 @@ def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
             last = key
     if held:
         yield pa.Table.from_batches(held)
+
+
+def byte_steps(batch: pa.RecordBatch, column: str, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes of a column, one row at least, so that what a task holds does
+    not depend on how many rows a batch has."""
+    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    step = np.cumsum(lengths) // size
+    edges = [0, *(np.flatnonzero(step[1:] != step[:-1]) + 1).tolist(), batch.num_rows]
+    for begin, stop in zip(edges, edges[1:]):
+        yield batch.slice(begin, stop - begin)

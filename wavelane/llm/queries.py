@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavelane.llm import bpe_rounds, html_text, mixing, multi_index, near_dedup, packing, quality_rules, repeats, toxicity, url_filter, warc
+from wavelane.llm import bpe_rounds, html_text, mixing, multi_index, near_dedup, packing, periodic, quality_rules, repeats, toxicity, url_filter, warc
 from wavelane.llm.common import read
 
 # The mix of the registered query and of the pipeline. The tables have no domain: sources are dealt to three
@@ -83,6 +83,10 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_rounds.digests(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.find_runs(read(spark, sf_dir, "documents"), periodic.looped))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_multi_index": op2_multi_index,
@@ -95,4 +99,5 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_warc": op10_warc,
     "op11_bpe": op11_bpe,
+    "op12_periodic": op12_periodic,
 }
