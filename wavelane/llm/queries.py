@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavelane.llm import bpe_rounds, html_text, mixing, multi_index, near_dedup, packing, periodic, quality_rules, repeats, toxicity, url_filter, warc
+from wavelane.llm import bpe_rounds, conversations, html_text, mixing, multi_index, near_dedup, packing, periodic, quality_rules, repeats, toxicity, url_filter, warc
 from wavelane.llm.common import read
 
 # The mix of the registered query and of the pipeline. The tables have no domain: sources are dealt to three
@@ -87,6 +87,10 @@ def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(periodic.find_runs(read(spark, sf_dir, "documents"), periodic.looped))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(conversations.turns(read(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_multi_index": op2_multi_index,
@@ -100,4 +104,5 @@ QUERIES = {
     "op10_warc": op10_warc,
     "op11_bpe": op11_bpe,
     "op12_periodic": op12_periodic,
+    "op13_conversations": op13_conversations,
 }
