@@ -312,6 +312,25 @@ steps as (
           as millivolts
         from steps, range(2) as s(second), range(2) as i(signal)""",
     ),
+    "recording_source": _select(
+        READINGS
+        + """,
+steps as (
+  select patient_id, floor(voltage * 50) as step,
+         row_number() over (partition by patient_id order by event_time, event_id) - 1 as place
+  from readings
+)""",
+        """select patient_id, patient_id || '_all.edf' as recording_file, 'signal-' || signal as channel,
+        cast(place as integer) as sample_index, 1704067200000 + 1000 * place as timestamp_ms,
+        round((case when signal = 0 then step else floor(step / 2) end) * 0.02::double, 6) as millivolts
+        from steps, range(2) as i(signal)""",
+    ),
+    "recording_scan": _select(
+        READINGS,
+        """select patient_id || '_all.edf' as recording_file, patient_id, count(*) as records,
+        1.0::double as sampling_rate, 768 + 4 * count(*) as size, 'open' as problem, 2 as signals
+        from readings group by 2""",
+    ),
     "staged_mart": _select(
         LABELLED + ANNOTATIONS + PAIRS + MARTS, "select * from patient_summary"
     ),

@@ -15,9 +15,11 @@ from wavelane.operators import features, quality, readings as wire, series, sign
 from wavelane.operators.intervals import overlap_join, slice_around
 from wavelane.plans import constraints, detection, marts
 from wavelane.session import shared_dir
+from wavelane.sinks import files
 from wavelane.sinks import tables as sinks
 from wavelane.sources import annotations as summaries
 from wavelane.sources import messages as streams
+from wavelane.sources import recording_source as recording_source_
 from wavelane.sources import recordings
 from wavelane.sources import tables as sources
 from wavelane.streaming import monitor
@@ -263,24 +265,33 @@ def _recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A recording file's bytes per event: two signals of the same label in two records of one second.
     The first signal holds the voltage in steps of 0.02 and its negative, the second those halved."""
     steps = F.floor(F.col("voltage") * 50)
+    half = F.floor(steps / 2)
+    return inputs.readings(spark, sf_dir).select(
+        F.concat(F.col("patient_id"), F.lit("_"), F.col("event_id").cast("string")).alias(
+            "recording_file"
+        ),
+        F.concat(
+            _recording_head(F.date_format("event_time", "dd.MM.yyHH.mm.ss"), 2, F.col("channel")),
+            *[_sample(value) for value in (steps, half, -steps, -half)],
+        ).alias("content"),
+    )
+
+
+def _recording_head(started: Column, records: int, label: Column) -> Column:
+    """The header of a recording with two signals of one label, a sample a second each, in steps of 0.02 mV."""
 
     def field(value: object, width: int) -> Column:
         text = value if isinstance(value, Column) else F.lit(str(value))
         return F.rpad(text, width, " ")
 
-    def sample(value: Column) -> Column:
-        digits = F.lpad(F.hex(value.bitwiseAND(0xFFFF)), 4, "0")
-        return F.unhex(F.concat(F.substring(digits, 3, 2), F.substring(digits, 1, 2)))
-
-    half = F.floor(steps / 2)
     header = [
         field("0", 168),
-        F.date_format("event_time", "dd.MM.yyHH.mm.ss"),
+        started,
         field(256 * 3, 52),
-        field(2, 8),
+        field(records, 8),
         field(1, 8),
         field(2, 4),
-        *[field(F.col("channel"), 16)] * 2,
+        *[field(label, 16)] * 2,
         field("", 160),
         *[field("mV", 8)] * 2,
         *[field(value, 8) for value in (-655.36, -655.36, 655.34, 655.34)],
@@ -289,13 +300,35 @@ def _recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[field(1, 8)] * 2,
         field("", 64),
     ]
-    body = [sample(value) for value in (steps, half, -steps, -half)]
-    return inputs.readings(spark, sf_dir).select(
-        F.concat(F.col("patient_id"), F.lit("_"), F.col("event_id").cast("string")).alias(
-            "recording_file"
-        ),
-        F.concat(F.concat(*header).cast("binary"), *body).alias("content"),
+    return F.concat(*header).cast("binary")
+
+
+def _sample(value: Column) -> Column:
+    """A 16-bit little-endian integer."""
+    digits = F.lpad(F.hex(value.bitwiseAND(0xFFFF)), 4, "0")
+    return F.unhex(F.concat(F.substring(digits, 3, 2), F.substring(digits, 1, 2)))
+
+
+def _recording_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with a recording file per patient: its readings one second apart, in steps of 0.02 and those
+    halved. The files state no number of records, as if they had not been closed."""
+    ordered = series.number_within(
+        inputs.readings(spark, sf_dir),
+        ["patient_id"],
+        ["event_time", "event_id"],
+        series.time_block("event_time", WATCH.block_seconds),
+        "record",
+    )
+    name = F.concat("patient_id", F.lit("_all.edf")).alias("name")
+    steps = F.floor(F.col("voltage") * 50)
+    bodies = ordered.select(
+        name, F.col("record").alias("position"), F.concat(_sample(steps), _sample(F.floor(steps / 2))).alias("data")
     )
+    head = _recording_head(F.lit("01.01.2400.00.00"), -1, F.lit("signal"))
+    heads = ordered.where("record = 0").select(name, F.lit(-1).cast("bigint"), head)
+    folder = shared_dir(spark, "recordings")
+    files.write_files(bodies.union(heads), folder)
+    return folder
 
 
 def recording_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,6 +354,25 @@ def recording_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def recording_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recording files, one per patient, read back by byte ranges: files share tasks and span several."""
+    samples = recording_source_.scan_samples(spark, _recording_files(spark, sf_dir), partition_bytes=1 << 16)
+    return samples.select(
+        "patient_id",
+        "recording_file",
+        "channel",
+        "sample_index",
+        "timestamp_ms",
+        F.round(F.col("voltage") * 1000, 6).alias("millivolts"),
+    )
+
+
+def recording_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The headers of the same files, of which nothing else is read."""
+    found = recording_source_.scan_headers(spark, _recording_files(spark, sf_dir))
+    return found.select("recording_file", "patient_id", "records", "sampling_rate", "size", "problem", F.size("signals").alias("signals"))
+
+
 def staged_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features and alerts stored, staged as views, summarised by SQL, stored as a mart and read."""
     base = shared_dir(spark, "staged")
@@ -441,6 +493,8 @@ QUERIES: dict[str, Query] = {
     "annotation_text": annotation_text,
     "recording_headers": recording_headers,
     "recording_samples": recording_samples,
+    "recording_source": recording_source,
+    "recording_scan": recording_scan,
     "staged_mart": staged_mart,
     "table_roundtrip": table_roundtrip,
     "conditional_delete": conditional_delete,
