@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from wavelane.operators.features import alerts_only, label_alerts, window_features
 from wavelane.operators.readings import parse_messages
@@ -98,18 +98,24 @@ def start_monitor(
     for state beyond executor memory. Both are set on the session while the query starts, which copies
     them, and then put back: don't start monitors with different settings from several threads at once.
     """
-    session = messages.sparkSession
+    writer = (
+        live_features(messages, params)
+        .writeStream.foreachBatch(FanOut(features_path, alerts_path, fmt, checkpoint, partition_by=partition_by))
+        .option("checkpointLocation", checkpoint)
+    )
+    return start_with(writer, messages.sparkSession, drain, state_partitions, provider)
+
+
+def start_with(
+    writer: DataStreamWriter, session: SparkSession, drain: bool, state_partitions: int | None, provider: str | None
+) -> StreamingQuery:
+    """Start a query with settings that hold for it alone."""
     settings = {
         "spark.sql.shuffle.partitions": state_partitions and str(state_partitions),
         "spark.sql.streaming.stateStore.providerClass": provider,
     }
     settings = {key: value for key, value in settings.items() if value}
     previous = {key: session.conf.get(key, None) for key in settings}
-    writer = (
-        live_features(messages, params)
-        .writeStream.foreachBatch(FanOut(features_path, alerts_path, fmt, checkpoint, partition_by=partition_by))
-        .option("checkpointLocation", checkpoint)
-    )
     if drain:
         writer = writer.trigger(availableNow=True)
     for key, value in settings.items():

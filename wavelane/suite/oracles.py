@@ -173,6 +173,19 @@ closed as (
   where window_end <= (select date_trunc('millisecond', max(event_time)) from readings) - interval 3 second
 )"""
 
+# Readings in three deliveries; rows are late whose window has closed by what was delivered before.
+DELIVERED = """,
+delivered as (
+  select *, case when event_id % 7 = 0 then 2 when day(event_time) <= 10 then 0 else 1 end as delivery,
+         time_bucket(interval 7 day, event_time, timestamp '1970-01-01') + interval 7 day as window_end
+  from readings
+),
+judged as (
+  select *, window_end <= (select date_trunc('millisecond', max(event_time)) - interval 3 second
+                           from delivered e where e.delivery < d.delivery) as late
+  from delivered d
+)"""
+
 ALL_READINGS = """select patient_id, epoch_us(event_time) // 1000 as timestamp_ms,
 cast(event_id as integer) as sample_index, channel, voltage from readings"""
 
@@ -348,6 +361,21 @@ steps as (
         LABELLED + CLOSED,
         f"select {_ALERT_COLUMNS} from closed union all select {_ALERT_COLUMNS} from closed",
     ),
+    "stream_late_rows": _select(
+        READINGS + DELIVERED,
+        f"""{ALL_READINGS.replace("from readings", "")}, date_trunc('millisecond', event_time) as event_time, window_end
+        from judged where late""",
+    ),
+    "stream_gaps": _select(
+        LABELLED + CLOSED,
+        """select patient_id, channel, 'gap' as kind, window_start, prev_end from (
+          select *, lag(window_end) over (partition by patient_id, channel order by window_start) as prev_end from closed
+        ) where window_start <> prev_end
+        union all
+        select patient_id, channel, 'silent', null, max(window_end) from features group by all
+        having max(window_end) + interval 10 day
+          <= (select date_trunc('millisecond', max(event_time)) from readings) - interval 3 second""",
+    ),
     "stream_alerts": _select(
         LABELLED + CLOSED,
         f"select {_ALERT_COLUMNS}, alert_reason from closed where alert_reason is not null",

@@ -22,7 +22,7 @@ from wavelane.sources import messages as streams
 from wavelane.sources import recording_source as recording_source_
 from wavelane.sources import recordings
 from wavelane.sources import tables as sources
-from wavelane.streaming import monitor
+from wavelane.streaming import monitor, watch
 from wavelane.suite import inputs
 from wavelane.suite.inputs import DAY, WATCH
 
@@ -420,20 +420,23 @@ def conditional_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -----------------------------------------------------------------------------------
 
 
-def _monitored(spark: SparkSession, sf_dir: str, feeds: int = 1) -> tuple[str, str]:
-    """Run all events through the live monitor, by each of ``feeds`` queries with a checkpoint of its own;
-    returns the paths of features and alerts."""
+def _messages(readings: DataFrame) -> DataFrame:
+    """One wire message per reading."""
     body = F.struct(
         "patient_id",
         F.unix_millis(F.col("event_time").cast("timestamp")).alias("timestamp_ms"),
         F.col("event_id").cast("int").alias("sample_index"),
         F.create_map("channel", "voltage").alias("channels"),
     )
+    return readings.select(F.to_json(body).cast("binary").alias("value"))
+
+
+def _monitored(spark: SparkSession, sf_dir: str, feeds: int = 1) -> tuple[str, str]:
+    """Run all events through the live monitor, by each of ``feeds`` queries with a checkpoint of its own;
+    returns the paths of features and alerts."""
     base = shared_dir(spark, "monitor")
     paths = {name: f"{base}/{name}" for name in ("messages", "features", "alerts", "state")}
-    inputs.readings(spark, sf_dir).select(F.to_json(body).cast("binary").alias("value")).write.parquet(
-        paths["messages"]
-    )
+    _messages(inputs.readings(spark, sf_dir)).write.parquet(paths["messages"])
     for feed in range(feeds):
         query = monitor.start_monitor(
             streams.file_messages(spark, paths["messages"]),
@@ -465,6 +468,40 @@ def stream_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(stored, *FEATURE_VALUES).withColumns(_ntz("window_start", "window_end"))
 
 
+def _watched(spark: SparkSession, sf_dir: str, deliveries: list[Column], silence_seconds: int = 0) -> watch.WatchPaths:
+    """Run the readings through the watch, one delivery after the other, each by a new start of the query."""
+    base = shared_dir(spark, "watch")
+    paths = watch.WatchPaths(*(f"{base}/{name}" for name in ("features", "alerts", "late", "gaps")))
+    for delivered in deliveries:
+        _messages(inputs.readings(spark, sf_dir).where(delivered)).write.mode("append").parquet(f"{base}/messages")
+        query = watch.start_watch(
+            streams.file_messages(spark, f"{base}/messages"),
+            paths,
+            f"{base}/state",
+            WATCH,
+            silence_seconds,
+            state_partitions=spark.sparkContext.defaultParallelism,
+            drain=True,
+            partition_by=BY_DATE,
+        )
+        query.awaitTermination()
+    return paths
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that came after their window had closed: a seventh of all readings is delivered at the end."""
+    late, early = F.col("event_id") % 7 == 0, F.dayofmonth("event_time") <= 10
+    deliveries = [~late & early, ~late & ~early, late]
+    stored = watch.read_late_rows(spark, _watched(spark, sf_dir, deliveries))
+    return stored.select(*READING, *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("event_time", "window_end")])
+
+
+def stream_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that don't begin where the one before ended, and series without readings for ten days."""
+    found = watch.read_gaps(spark, _watched(spark, sf_dir, [F.lit(True)], silence_seconds=10 * DAY))
+    return found.select("patient_id", "channel", "kind", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "prev_end")])
+
+
 QUERIES: dict[str, Query] = {
     "window_features": window_features,
     "alert_label": alert_label,
@@ -501,6 +538,8 @@ QUERIES: dict[str, Query] = {
     "stream_features": stream_features,
     "stream_alerts": stream_alerts,
     "stream_two_feeds": stream_two_feeds,
+    "stream_late_rows": stream_late_rows,
+    "stream_gaps": stream_gaps,
     "wire_repeats": wire_repeats,
     "mart_table": mart_table,
     "partition_scan": partition_scan,
