@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wavelane.functions import rate
 from wavelane.operators.intervals import overlap_join
+from wavelane.operators.sweep import mark_overlapping
 from wavelane.params import MonitorParams
 
 ALERT_SPAN = ("window_start", "window_end")
@@ -23,9 +24,8 @@ def matched_pairs(alerts: DataFrame, annotations: DataFrame, params: MonitorPara
 
 def false_positives(alerts: DataFrame, annotations: DataFrame, params: MonitorParams) -> DataFrame:
     """Alerts that share time with no labelled interval of their patient."""
-    return overlap_join(
-        alerts, annotations, ALERT_SPAN, LABEL_SPAN, params.cell_seconds, "left_anti"
-    )
+    marked = mark_overlapping(alerts, annotations, ALERT_SPAN, LABEL_SPAN, params.block_seconds, "__hit")
+    return marked.where(~F.col("__hit")).drop("__hit")
 
 
 def alert_spans(alerts: DataFrame) -> DataFrame:
@@ -37,7 +37,9 @@ def alert_spans(alerts: DataFrame) -> DataFrame:
 
 
 def _detected(spans: DataFrame, annotations: DataFrame, params: MonitorParams) -> DataFrame:
-    return matched_pairs(spans, annotations, params).select(*LABEL_COLUMNS).distinct()
+    labels = annotations.select(*LABEL_COLUMNS).distinct()
+    marked = mark_overlapping(labels, spans, LABEL_SPAN, ALERT_SPAN, params.block_seconds, "__hit")
+    return marked.where("__hit").drop("__hit")
 
 
 def detected_seizures(alerts: DataFrame, annotations: DataFrame, params: MonitorParams) -> DataFrame:
@@ -48,28 +50,33 @@ def detected_seizures(alerts: DataFrame, annotations: DataFrame, params: Monitor
 def detection_report(alerts: DataFrame, annotations: DataFrame, params: MonitorParams) -> DataFrame:
     """One row: detected and total intervals, false positives and alerts, both rates in percent.
 
-    Each count is a partial aggregate; a single sum brings the four of them together. The two alert
-    counts share one shuffle of the alerts into spans. A rate over nothing is null.
+    Each count is a partial aggregate; a single sum brings the four of them together. A rate over nothing is
+    null.
     """
-    spans = alert_spans(alerts)
-    alerts_in = F.coalesce(F.sum("alerts"), F.lit(0))
-    parts = {
-        "detected": _detected(spans, annotations, params).agg(F.count("*")),
-        "total_seizures": annotations.agg(F.count("*")),
-        "false_positives": false_positives(spans, annotations, params).agg(alerts_in),
-        "total_alerts": spans.agg(alerts_in),
-    }
+    return report_on(marked_spans(alert_spans(alerts), annotations, params), annotations, params)
+
+
+def marked_spans(spans: DataFrame, annotations: DataFrame, params: MonitorParams) -> DataFrame:
+    """Alert spans and whether they share time with a labelled interval of their patient (``hit``)."""
+    return mark_overlapping(spans, annotations, ALERT_SPAN, LABEL_SPAN, params.block_seconds, "hit")
+
+
+def report_on(spans: DataFrame, annotations: DataFrame, params: MonitorParams) -> DataFrame:
+    """The detection report, from marked spans."""
+    total = F.coalesce(F.sum("alerts"), F.lit(0))
+    vain = F.coalesce(F.sum(F.when(~F.col("hit"), F.col("alerts"))), F.lit(0))
+    names = ["detected", "total_seizures", "false_positives", "total_alerts"]
+    zero = F.lit(0).cast("bigint")
     rows = [
-        part.toDF("__n").select(
-            *[(F.col("__n") if name == counted else F.lit(0)).alias(name) for name in parts]
-        )
-        for counted, part in parts.items()
+        _detected(spans, annotations, params).agg(F.count("*").alias("n")).select("n", zero, zero, zero),
+        annotations.agg(F.count("*").alias("n")).select(zero, "n", zero, zero),
+        spans.agg(vain.alias("vain"), total.alias("total")).select(zero, zero, "vain", "total"),
     ]
     return (
-        reduce(DataFrame.unionByName, rows)
-        .agg(*[F.sum(name).alias(name) for name in parts])
+        reduce(DataFrame.union, [row.toDF(*names) for row in rows])
+        .agg(*[F.sum(name).alias(name) for name in names])
         .select(
-            *parts,
+            *names,
             rate(F.col("detected"), F.col("total_seizures")).alias("detection_rate"),
             rate(F.col("false_positives"), F.col("total_alerts")).alias("false_positive_rate"),
         )

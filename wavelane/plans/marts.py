@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wavelane.functions import percent_text, rate
 from wavelane.params import SPIKE_REASON, VARIANCE_REASON, MonitorParams
-from wavelane.plans.detection import alert_spans, false_positives, matched_pairs
+from wavelane.plans.detection import alert_spans, marked_spans
 
 
 def patient_summary(features: DataFrame, alerts: DataFrame) -> DataFrame:
@@ -44,25 +44,23 @@ def seizure_detection_rate(
 
     Patients without a match have no row. ``detection_report`` counts intervals instead.
     """
-    spans = alert_spans(alerts)
+    return detection_rate_of(marked_spans(alert_spans(alerts), annotations, params), annotations)
+
+
+def detection_rate_of(spans: DataFrame, annotations: DataFrame) -> DataFrame:
+    """The same mart from spans that are marked already."""
     total = annotations.agg(F.count_distinct("seizure_start_ms", "patient_id").alias("n")).scalar()
-    matched = (
-        matched_pairs(spans, annotations, params)
-        .groupBy("patient_id")
-        .agg(F.count_distinct("patient_id").alias("DETECTED"))
-    )
-    in_vain = (
-        false_positives(spans, annotations, params)
-        .groupBy("patient_id")
-        .agg(F.sum("alerts").alias("__in_vain"))
-    )
+    hits = F.count_if("hit")
+    vain = F.coalesce(F.sum(F.when(~F.col("hit"), F.col("alerts"))), F.lit(0))
     return (
-        matched.join(in_vain, "patient_id", "left")
-        .withColumn("TOT_SEIZURES", total)
+        spans.groupBy("patient_id")
+        .agg(hits.alias("__hits"), vain.alias("FP_COUNT"))
+        .where("__hits > 0")
+        .select(F.lit(1).cast("bigint").alias("DETECTED"), total.alias("TOT_SEIZURES"), "FP_COUNT")
         .select(
             "DETECTED",
             "TOT_SEIZURES",
             percent_text(rate(F.col("DETECTED"), F.col("TOT_SEIZURES"))).alias("DETECTION_RATE"),
-            F.coalesce("__in_vain", F.lit(0)).alias("FP_COUNT"),
+            "FP_COUNT",
         )
     )
