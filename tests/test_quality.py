@@ -3,10 +3,12 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from wavelane import MonitorParams
 from wavelane.operators.features import FEATURE_SCHEMA
-from wavelane.operators.quality import enforce, quality_report, schema_mismatches
+from wavelane.operators.quality import enforce, feature_spans, observed_counts, quality_report, quality_report_of, schema_mismatches
 from wavelane.params import EXPECTED_CHANNELS
 from wavelane.plans.constraints import (
     mart_constraints,
@@ -42,6 +44,14 @@ def failures(spark, rows):
     frame = spark.createDataFrame([tuple(r.values()) for r in rows], FEATURE_SCHEMA)
     report = quality_report(frame, PARAMS).collect()
     assert len(report) == 15
+    # The same figures, row checks counted while the spans are made.
+    seen = Observation()
+    spans = feature_spans(frame, PARAMS, seen).persist()
+    assert (spans.agg(F.sum("n")).first()[0] or 0) == len(rows)
+    assert observed_counts(seen, ["rows"]) == {"rows": len(rows)}
+    observed = quality_report_of(spans, seen, len(schema_mismatches(frame)), PARAMS).collect()
+    assert sorted(observed) == sorted(report)
+    spans.unpersist()
     assert all(r.passed == (r.violations == (r.check == "distinct_duration_check")) for r in report)
     return {r.check: r.violations for r in report if not r.passed}
 

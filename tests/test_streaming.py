@@ -175,3 +175,17 @@ def test_daily_run_stops_before_the_marts_on_bad_features(spark, tmp_path):
     with pytest.raises(ValueError, match="gap_check: 2"):
         run_daily(spark, paths, annotations(spark), PARAMS)
     assert not (tmp_path / "marts" / "patient_summary").exists()
+
+
+def test_daily_run_without_labels_and_its_figures(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.land(*seconds(0, 30))
+    feed.run()
+    paths = TablePaths(feed.features, feed.alerts, f"{tmp_path}/labels", f"{tmp_path}/marts")
+    results = run_daily(spark, paths, annotations(spark).limit(0), PARAMS)
+    figures = {(r.step, r.metric): r.value for r in results["daily_run"].collect()}
+    assert figures["annotations", "rows"] == figures["detection_report", "total_seizures"] == 0
+    assert figures["features", "rows"] == 10 and figures["detection_report", "total_alerts"] == 5
+    assert figures["detection_report", "detection_rate"] is None and figures["detection_report", "false_positive_rate"] == 100.0
+    assert figures["seizure_detection_rate", "rows"] == 0 and figures["patient_summary", "rows"] == 1
+    assert figures["quality_report", "distinct_duration_check"] == 1

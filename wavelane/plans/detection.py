@@ -28,12 +28,13 @@ def false_positives(alerts: DataFrame, annotations: DataFrame, params: MonitorPa
     return marked.where(~F.col("__hit")).drop("__hit")
 
 
-def alert_spans(alerts: DataFrame) -> DataFrame:
+def alert_spans(alerts: DataFrame, n: str | None = None) -> DataFrame:
     """Distinct alert windows per patient with their number of alerts.
 
-    Channels that alert together share one row, so the joins below meet each window once.
+    Channels that alert together share one row, so the joins below meet each window once. ``n`` names a
+    column that says for how many alerts a row stands.
     """
-    return alerts.groupBy("patient_id", *ALERT_SPAN).agg(F.count("*").alias("alerts"))
+    return alerts.groupBy("patient_id", *ALERT_SPAN).agg(F.sum(F.col(n) if n else F.lit(1)).alias("alerts"))
 
 
 def _detected(spans: DataFrame, annotations: DataFrame, params: MonitorParams) -> DataFrame:

@@ -10,10 +10,17 @@ from wavelane.params import SPIKE_REASON, VARIANCE_REASON, MonitorParams
 from wavelane.plans.detection import alert_spans, marked_spans
 
 
-def patient_summary(features: DataFrame, alerts: DataFrame) -> DataFrame:
-    """Per patient with features: windows, alerts (null without any), alert rate as text."""
-    windows = features.groupBy("patient_id").agg(F.count("*").alias("TOT_WINDOWS_PROCESSED"))
-    fired = alerts.groupBy("patient_id").agg(F.count("alert_reason").alias("TOT_ALERTS_FIRED"))
+def patient_summary(features: DataFrame, alerts: DataFrame, n: str | None = None) -> DataFrame:
+    """Per patient with features: windows, alerts (null without any), alert rate as text. ``n`` names a
+    column of both tables that says for how many rows a row stands."""
+    each = F.col(n) if n else F.lit(1)
+    windows = features.groupBy("patient_id").agg(F.sum(each).alias("TOT_WINDOWS_PROCESSED"))
+    told = F.sum(F.when(F.col("alert_reason").isNotNull(), each).otherwise(0))
+    return summary_of(windows, alerts.groupBy("patient_id").agg(told.alias("TOT_ALERTS_FIRED")))
+
+
+def summary_of(windows: DataFrame, fired: DataFrame) -> DataFrame:
+    """The same mart from totals by patient."""
     share = F.coalesce(rate(F.col("TOT_ALERTS_FIRED"), F.col("TOT_WINDOWS_PROCESSED")), F.lit(0.0))
     return windows.join(fired, "patient_id", "left").select(
         F.col("patient_id").alias("PATIENT_ID"),
@@ -23,11 +30,11 @@ def patient_summary(features: DataFrame, alerts: DataFrame) -> DataFrame:
     )
 
 
-def alerts_daily(alerts: DataFrame) -> DataFrame:
-    """Per patient, channel and date: alerts by reason."""
+def alerts_daily(alerts: DataFrame, n: str | None = None) -> DataFrame:
+    """Per patient, channel and date: alerts by reason. ``n`` as in ``patient_summary``."""
 
     def of(reason: str, name: str):
-        return F.count_if(F.col("alert_reason") == reason).alias(name)
+        return F.sum(F.when(F.col("alert_reason") == reason, F.col(n) if n else F.lit(1)).otherwise(0)).alias(name)
 
     return alerts.groupBy(
         F.col("patient_id").alias("PATIENT_ID"),

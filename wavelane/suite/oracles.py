@@ -166,6 +166,33 @@ MART_CHECKS = {
     ),
 }
 
+DETECTION = {
+    "detected": "select count(distinct recording_file) from pairs",
+    "total_seizures": "select count(*) from annotations",
+    "false_positives": "select count(*) from in_vain",
+    "total_alerts": "select count(*) from alerts",
+}
+DAILY_RUN = {
+    **{
+        name: {"rows": f"select count(*) from {name}"}
+        for name in ("annotations", "features", "patient_summary", "alerts_daily", "seizure_detection_rate")
+    },
+    "detection_report": {
+        "rows": "select 1",
+        **DETECTION,
+        "detection_rate": f"select ({DETECTION['detected']}) * 100.0::double / ({DETECTION['total_seizures']})",
+        "false_positive_rate": f"select ({DETECTION['false_positives']}) * 100.0::double / ({DETECTION['total_alerts']})",
+    },
+    "quality_report": {
+        "rows": "select 15",
+        "schema_check": "select 0",
+        **ROW_CHECKS,
+        **GROUP_CHECKS,
+        "gap_check": "select count(*) from gaps",
+    },
+    "mart_constraints": {"rows": f"select {len(MART_CHECKS)}", **MART_CHECKS},
+}
+
 # Windows that have closed when the stream's last event has arrived.
 CLOSED = """,
 closed as (
@@ -244,6 +271,25 @@ ORACLES: dict[str, str] = {
         LABELLED + ANNOTATIONS + PAIRS + MARTS, "select * from seizure_detection_rate"
     ),
     "mart_constraints": _report(LABELLED + ANNOTATIONS + PAIRS + MARTS, MART_CHECKS),
+    "marts_incremental": _select(
+        LABELLED + ANNOTATIONS + PAIRS + MARTS, "select * from patient_summary"
+    ),
+    "alerts_incremental": _select(LABELLED + ANNOTATIONS + PAIRS + MARTS, "select * from alerts_daily"),
+    "distinct_by_day": _select(
+        FEATURES + ",\ndays as (select distinct event_date from features)",
+        """select d.event_date, count(distinct patient_id) filter (f.event_date = d.event_date) as on_day,
+        count(distinct patient_id) filter (f.event_date > d.event_date - 10) as lately,
+        count(distinct patient_id) as so_far
+        from days d join features f on f.event_date <= d.event_date group by d.event_date""",
+    ),
+    "daily_run": _select(
+        LABELLED + ANNOTATIONS + PAIRS + MARTS + GAPS,
+        "\nunion all ".join(
+            f"select '{step}' as step, '{metric}' as metric, round(({query})::double, 6) as value"
+            for step, metrics in DAILY_RUN.items()
+            for metric, query in metrics.items()
+        ),
+    ),
     "dq_row_checks": _report(FEATURES, ROW_CHECKS, one=("distinct_duration_check",)),
     "dq_channel_count": _select(
         FEATURES,
@@ -361,6 +407,11 @@ steps as (
         LABELLED + CLOSED,
         f"select {_ALERT_COLUMNS} from closed union all select {_ALERT_COLUMNS} from closed",
     ),
+    "stream_recovery": _select(
+        LABELLED + CLOSED,
+        f"""select {_ALERT_COLUMNS}, null::varchar as alert_reason, 'features' as sink from closed
+        union all select {_ALERT_COLUMNS}, alert_reason, 'alerts' from closed where alert_reason is not null""",
+    ),
     "stream_late_rows": _select(
         READINGS + DELIVERED,
         f"""{ALL_READINGS.replace("from readings", "")}, date_trunc('millisecond', event_time) as event_time, window_end

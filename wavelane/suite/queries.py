@@ -8,12 +8,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavelane.operators import features, quality, readings as wire, series, signal
 from wavelane.operators.intervals import overlap_join, slice_around
-from wavelane.plans import constraints, detection, marts
+from wavelane.plans import constraints, daily, detection, increments, marts
 from wavelane.session import shared_dir
 from wavelane.sinks import files
 from wavelane.sinks import tables as sinks
@@ -162,14 +163,76 @@ def seizure_detection_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def mart_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = inputs.alerts(spark, sf_dir)
-    return constraints.mart_constraints(
+def _stored_marts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Alerts and the three marts, each stored once."""
+    base = shared_dir(spark, "marts")
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        sinks.replace_table(df, f"{base}/{name}")
+        return sources.read_table(spark, f"{base}/{name}")
+
+    labelled = stored("labelled", inputs.labelled(spark, sf_dir))
+    found = features.alerts_only(labelled)
+    rates = marts.seizure_detection_rate(found, inputs.annotations(spark, sf_dir), WATCH)
+    return [
         found,
-        marts.patient_summary(inputs.features(spark, sf_dir), found),
-        marts.alerts_daily(found),
-        marts.seizure_detection_rate(found, inputs.annotations(spark, sf_dir), WATCH),
-    )
+        stored("patient_summary", marts.patient_summary(labelled, found)),
+        stored("alerts_daily", marts.alerts_daily(found)),
+        stored("seizure_detection_rate", rates),
+    ]
+
+
+def mart_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return constraints.mart_constraints(*_stored_marts(spark, sf_dir))
+
+
+def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures of all steps of a daily run over the stored features and alerts."""
+    base = shared_dir(spark, "daily")
+    paths = daily.TablePaths(*(f"{base}/{name}" for name in ("features", "alerts", "annotations", "marts")))
+    stamped = inputs.labelled(spark, sf_dir).withColumns({n: F.col(n).cast("timestamp") for n in detection.ALERT_SPAN})
+    sinks.replace_table(stamped, f"{base}/labelled")
+    labelled = sources.read_table(spark, f"{base}/labelled")
+    sinks.append_table(labelled.drop("alert_reason"), paths.features, partition_by=BY_DATE)
+    sinks.append_table(features.alerts_only(labelled), paths.alerts, partition_by=BY_DATE)
+    figures = daily.run_daily(spark, paths, inputs.annotations(spark, sf_dir), WATCH, strict=False)["daily_run"]
+    return _rounded(figures.where("step not like '%spans'"), "value")
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> increments.PartialPaths:
+    """Stored windows arrive in three loads, and each load refreshes the dates it touched: in the first one the
+    alerts are missing, the last one brings what belongs to dates that were there before."""
+    base = shared_dir(spark, "increments")
+    paths = increments.PartialPaths(*(f"{base}/{name}" for name in ("totals", "reasons", "members")))
+    sinks.replace_table(inputs.labelled(spark, sf_dir), f"{base}/labelled")
+    labelled = sources.read_table(spark, f"{base}/labelled")
+    late = F.crc32(F.concat("patient_id", "channel")) % 5 == 0
+    early = F.col("event_date") < F.lit("2024-01-11").cast("date")
+    number = F.substring("patient_id", 4, 20).try_cast("long")
+    for part, with_alerts in ((early & ~late, False), (~early & ~late, True), (late, True)):
+        load = labelled.where(part)
+        sinks.append_table(load.drop("alert_reason"), f"{base}/features", partition_by=BY_DATE)
+        if with_alerts:
+            old = early & ~late if part is not late else F.lit(False)
+            sinks.append_table(features.alerts_only(labelled.where(part | old)), f"{base}/alerts", partition_by=BY_DATE)
+        days = [row[0] for row in labelled.where(part | early).select("event_date").distinct().collect()]
+        alerts_so_far = sources.read_table(spark, f"{base}/alerts") if with_alerts else labelled.limit(0)
+        increments.refresh(spark, sources.read_table(spark, f"{base}/features"), alerts_so_far, days, paths, number)
+    return paths
+
+
+def marts_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The patient summary after three loads: the same as of a build over everything."""
+    return increments.patient_summary(spark, _loaded(spark, sf_dir))
+
+
+def alerts_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return increments.daily_alerts(spark, _loaded(spark, sf_dir))
+
+
+def distinct_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct patients by date of window, in the last ten days and up to the date, from daily sets."""
+    return increments.distinct_patients(spark, _loaded(spark, sf_dir), days=10)
 
 
 # --- quality -------------------------------------------------------------------------------------
@@ -468,6 +531,45 @@ def stream_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(stored, *FEATURE_VALUES).withColumns(_ntz("window_start", "window_end"))
 
 
+class _Interrupted(monitor.FanOut):
+    """Stops the query between the two tables of its first batch."""
+
+    def _write(self, rows: DataFrame, path: str, feed: str, batch_id: int) -> None:
+        if path == self.alerts_path:
+            raise InterruptedError("stopped between the tables")
+        super()._write(rows, path, feed, batch_id)
+
+
+def stream_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tables of a monitor that was stopped after a batch had reached features but not alerts, and then
+    started again from its checkpoint."""
+    base = shared_dir(spark, "recovery")
+    _messages(inputs.readings(spark, sf_dir)).write.parquet(f"{base}/messages")
+    messages = streams.file_messages(spark, f"{base}/messages")
+    places = [f"{base}/{name}" for name in ("features", "alerts", "state")]
+    tasks = spark.sparkContext.defaultParallelism
+    stopping = (
+        monitor.live_features(messages, WATCH)
+        .writeStream.foreachBatch(_Interrupted(*places[:2], checkpoint=places[2], partition_by=BY_DATE))
+        .option("checkpointLocation", places[2])
+    )
+    stopped = monitor.start_with(stopping, spark, True, tasks, None)
+    try:
+        stopped.awaitTermination()
+    except StreamingQueryException:
+        pass  # as it is meant to
+    else:
+        raise AssertionError("the query was to be stopped")
+    again = monitor.start_monitor(messages, *places, WATCH, state_partitions=tasks, drain=True, partition_by=BY_DATE)
+    again.awaitTermination()
+    windows, raised = (
+        _rounded(monitor.read_output(spark, place), *FEATURE_VALUES).withColumns(_ntz("window_start", "window_end")) for place in places[:2]
+    )
+    return windows.withColumns({"alert_reason": F.lit(None).cast("string"), "sink": F.lit("features")}).unionByName(
+        raised.withColumn("sink", F.lit("alerts"))
+    )
+
+
 def _watched(spark: SparkSession, sf_dir: str, deliveries: list[Column], silence_seconds: int = 0) -> watch.WatchPaths:
     """Run the readings through the watch, one delivery after the other, each by a new start of the query."""
     base = shared_dir(spark, "watch")
@@ -518,6 +620,10 @@ QUERIES: dict[str, Query] = {
     "alerts_daily": alerts_daily,
     "seizure_detection_rate": seizure_detection_rate,
     "mart_constraints": mart_constraints,
+    "daily_run": daily_run,
+    "marts_incremental": marts_incremental,
+    "alerts_incremental": alerts_incremental,
+    "distinct_by_day": distinct_by_day,
     "dq_row_checks": dq_row_checks,
     "dq_channel_count": dq_channel_count,
     "dq_duplicates": dq_duplicates,
@@ -538,6 +644,7 @@ QUERIES: dict[str, Query] = {
     "stream_features": stream_features,
     "stream_alerts": stream_alerts,
     "stream_two_feeds": stream_two_feeds,
+    "stream_recovery": stream_recovery,
     "stream_late_rows": stream_late_rows,
     "stream_gaps": stream_gaps,
     "wire_repeats": wire_repeats,
