@@ -162,6 +162,69 @@ def test_delete_can_empty_a_null_partition(spark, tmp_path):
     assert contents(read_table(spark, path)) == sorted((r for r in ROWS if r[2] != 3.0), key=str)
 
 
+ODD = [("a b/c%", 1, 1.0), ("a b/c%", 2, 2.0), ("\u00e9", 1, 1.0), (None, 1, 1.0), ("z", 1, 5.0)]
+
+
+def test_delete_removes_files_of_odd_names(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = [(p, dt.date(2024, 1, d), v) for p, d, v in ODD]
+    append_table(spark.createDataFrame(days, "patient_id string, event_date date, mean_v double"), path)
+    delete_where(spark, path, F.col("mean_v") == 1.0)
+    assert contents(read_table(spark, path)) == sorted([ODD[1], ODD[4]], key=str)
+    assert len(list(Path(path).glob("**/*.parquet"))) == 2
+    delete_where(spark, path, F.lit(True))
+    assert not list(Path(path).glob("**/*.parquet"))
+
+
+@pytest.mark.parametrize("stop", ["_remove_files", "_remove"])
+def test_a_stopped_delete_is_finished(spark, tmp_path, monkeypatch, stop):
+    """Stopped between rewriting and removing, or before the marker goes."""
+    from wavelane.sinks import tables
+
+    path = str(tmp_path / "t")
+    stored(spark, path)
+
+    def stopped(*_):
+        raise InterruptedError
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, stop, stopped)
+        with pytest.raises(InterruptedError):
+            delete_where(spark, path, F.col("mean_v") == 999.0)
+    expected = sorted((r for r in ROWS if r[2] != 999.0), key=str)
+    found = contents(read_table(spark, path))  # the marker is no part of the table
+    assert set(expected) <= set(found) <= set(ROWS)
+    assert tables.finish_delete(spark, path) and not tables.finish_delete(spark, path)
+    assert contents(read_table(spark, path)) == expected
+    assert not Path(path, tables.MARKER).exists()
+
+
+def test_bucketed_tables_need_no_shuffle(spark, tmp_path):
+    from wavelane.plans.marts import patient_summary
+    from wavelane.sinks.tables import save_bucketed
+    from wavelane.sources.tables import of_patient_day
+
+    rows = [(f"p{k % 40}", dt.date(2024, 1, 1 + k % 3), "spike_threshold" if k % 5 == 0 else None) for k in range(400)]
+    frame = spark.createDataFrame(rows, "patient_id string, event_date date, alert_reason string")
+    save_bucketed(frame, "bucketed_features", 4, partition_by=["event_date"])
+    save_bucketed(frame.where("alert_reason is not null"), "bucketed_alerts", 4)
+    features, alerts = spark.table("bucketed_features"), spark.table("bucketed_alerts")
+    summary = patient_summary(features, alerts)
+    got = sorted(map(tuple, summary.collect()), key=str)
+    assert got == sorted(map(tuple, patient_summary(frame, frame.where("alert_reason is not null")).collect()), key=str)
+    assert "Exchange" not in summary._jdf.queryExecution().executedPlan().toString()
+    day = of_patient_day(features, "p7", "2024-01-02")
+    assert day.count() == sum(r[:2] == ("p7", dt.date(2024, 1, 2)) for r in rows) > 0
+    # A scan alone opens the same files, but its plan says so only if it is kept in buckets.
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    plan = day.select("*")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert "SelectedBucketsCount: 1 out of 4" in plan
+    assert len(features.inputFiles()) == 12 and len(day.inputFiles()) == 4  # one file per date and bucket
+    spark.sql("drop table bucketed_features")
+    spark.sql("drop table bucketed_alerts")
+
+
 def test_replace_stage_and_mart(spark, tmp_path):
     path = str(tmp_path / "t")
     replace_table(spark.range(5), path)

@@ -21,6 +21,12 @@ def read_partition(
     spark: SparkSession, path: str, patient_id: str, event_date: str, fmt: str = "parquet"
 ) -> DataFrame:
     """One patient's day. Both filters are on partition columns, so other folders are not opened."""
-    return read_table(spark, path, fmt).where(
+    return of_patient_day(read_table(spark, path, fmt), patient_id, event_date)
+
+
+def of_patient_day(table: DataFrame, patient_id: str, event_date: str) -> DataFrame:
+    """One patient's day of a table. Of one that is partitioned by date and bucketed by patient
+    (``save_bucketed``) this opens one file: the date's of the patient's bucket."""
+    return table.where(
         (F.col("patient_id") == patient_id) & (F.col("event_date") == F.lit(event_date).cast("date"))
     )

@@ -271,6 +271,7 @@ ORACLES: dict[str, str] = {
         LABELLED + ANNOTATIONS + PAIRS + MARTS, "select * from seizure_detection_rate"
     ),
     "mart_constraints": _report(LABELLED + ANNOTATIONS + PAIRS + MARTS, MART_CHECKS),
+    "bucketed_summary": _select(LABELLED + ANNOTATIONS + PAIRS + MARTS, "select * from patient_summary"),
     "marts_incremental": _select(
         LABELLED + ANNOTATIONS + PAIRS + MARTS, "select * from patient_summary"
     ),
@@ -334,6 +335,25 @@ timed as (
              + pow(sum(voltage * sin(2 * pi() * k * part)), 2)) / count(*), 4) as power
         from timed, range(1, 17) as frequencies(k) group by all""",
     ),
+    "power_density": _select(
+        READINGS
+        + """,
+samples as (select channel, voltage, row_number() over (partition by channel order by event_time, event_id) - 1 as i
+            from readings),
+segments as (
+  select channel, i // 32 - back as segment, i - 32 * (i // 32 - back) as place, voltage
+  from samples, range(2) as b(back) where i // 32 - back >= 0),
+tapered as (
+  select channel, segment, place, (voltage - avg(voltage) over whole) * (0.5 - 0.5 * cos(2 * pi() * place / 64)) as x
+  from segments window whole as (partition by channel, segment) qualify count(*) over whole = 64),
+powers as (
+  select channel, segment, k, pow(sum(x * cos(2 * pi() * k * place / 64)), 2)
+       + pow(sum(x * sin(2 * pi() * k * place / 64)), 2) as power
+  from tapered, range(33) as frequencies(k) group by all)""",
+        """select channel, cast(k as integer) as cycles, count(*) as segments,
+        round(avg(power) * case when k in (0, 32) then 1 else 2 end / 24, 6) as density
+        from powers group by channel, k""",
+    ),
     "channel_normalise": """
         select recording, electrode, min(position) as position, arg_min(label, position) as label
         from (select p_brand as recording, p_partkey as position, p_name as label,

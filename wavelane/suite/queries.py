@@ -12,7 +12,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavelane.operators import features, quality, readings as wire, series, signal
+from wavelane.operators import features, quality, readings as wire, series, signal, spectrum
 from wavelane.operators.intervals import overlap_join, slice_around
 from wavelane.plans import constraints, daily, detection, increments, marts
 from wavelane.session import shared_dir
@@ -286,6 +286,19 @@ def band_power(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def power_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spectrum of each channel's readings in order, taken as one sample a second, of 64 samples a segment."""
+    ordered = series.number_within(
+        inputs.readings(spark, sf_dir),
+        ["channel"],
+        ["event_time", "event_id"],
+        series.time_block("event_time", 3600),
+        "sample_index",
+    )
+    density = spectrum.power_density(ordered, 1.0, 64, keys=["channel"])
+    return density.select("channel", F.round(F.col("hertz") * 64).cast("int").alias("cycles"), "segments", F.round("density", 6).alias("density"))
+
+
 def channel_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signal.normalise_channels(inputs.part_labels(spark, sf_dir))
 
@@ -464,12 +477,27 @@ def mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+BUCKETS = 16
+
+
+def _bucketed(spark: SparkSession, df: DataFrame, purpose: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    name = f"{purpose}_{uuid.uuid4().hex}"
+    sinks.save_bucketed(df, name, BUCKETS, partition_by=partition_by)
+    return spark.table(name)
+
+
 def partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All features stored by patient and date, one patient's day read back."""
-    path = shared_dir(spark, "features")
-    sinks.append_table(inputs.features(spark, sf_dir), path)
-    day = sources.read_partition(spark, path, "chb01", "2024-01-11")
-    return _rounded(day, *FEATURE_VALUES)
+    """All features stored by date and hashed patient, one patient's day read back."""
+    stored = _bucketed(spark, inputs.features(spark, sf_dir), "features", BY_DATE)
+    return _rounded(sources.of_patient_day(stored, "chb01", "2024-01-11"), *FEATURE_VALUES)
+
+
+def bucketed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The patient summary over tables that are stored by hashed patient: grouped and joined where they lie."""
+    labelled = inputs.labelled(spark, sf_dir)
+    stored = _bucketed(spark, labelled, "features")
+    raised = _bucketed(spark, features.alerts_only(stored), "alerts")
+    return marts.patient_summary(stored, raised)
 
 
 def conditional_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -631,6 +659,7 @@ QUERIES: dict[str, Query] = {
     "dq_report": dq_report,
     "signal_profile": signal_profile,
     "band_power": band_power,
+    "power_density": power_density,
     "channel_normalise": channel_normalise,
     "channel_dedupe_suffix": channel_dedupe_suffix,
     "annotation_text": annotation_text,
@@ -650,4 +679,5 @@ QUERIES: dict[str, Query] = {
     "wire_repeats": wire_repeats,
     "mart_table": mart_table,
     "partition_scan": partition_scan,
+    "bucketed_summary": bucketed_summary,
 }
