@@ -409,6 +409,20 @@ def test_archives_give_back_what_went_in(spark):
     assert warc.archive(pages.limit(0)).count() == 0
 
 
+def test_archives_are_read_by_many_tasks_and_extra_names_do_not_clash(spark):
+    rows = [(k, f"http://{k}", f"<p>{k % 50}</p>" * 20, "h", k, "r", None) for k in range(600)]
+    schema = "page_id long, url string, html string, payload_sha1 string, head long, record_type string, path string"
+    pages = spark.createDataFrame(rows, schema).repartition(6)
+    folder = warc.shared_dir(spark, "test-warc")
+    archives = warc.write_archives(warc.plan_records(pages), folder)
+    read_back = warc.read_archives(archives, folder)
+    assert archives.count() >= 4
+    assert read_back.withColumn("task", warc.F.spark_partition_id()).select("task").distinct().count() >= 4
+    assert sorted((r.page_id, r.refers_to) for r in read_back.collect()) == [(k, None if k >= 550 else 550 + k % 50) for k in range(600)]
+    plan = warc.plan_records(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sha1(") <= 2
+
+
 def test_archives_start_with_their_dictionary():
     records = [f"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nabc{k:02d}\r\n\r\n".encode() for k in range(90)]
     data = warc.build_archive(records)

@@ -24,10 +24,10 @@ import pyarrow as pa
 import pyarrow.fs
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavelane.llm.common import store
+from wavelane.llm.common import small, store
 from wavelane.session import shared_dir
 
 DICTIONARY_FRAME = 0x184D2A5D  # fixed value of the format: magic number of the frame that holds a dictionary
@@ -39,14 +39,8 @@ _IDS = 0x7A1D5C9E3B604F8ABC1D << 48  # record ids: a fixed upper half, the page_
 _HIGH = (_IDS >> 64) & 0xFFFFFFFFFFFFFFFF
 
 
-def base32_sha1(text: Column) -> Column:
-    """Upper-case base32 of the SHA-1 of a text's UTF-8 bytes: eight groups of 20 bits, four digits each."""
-    digest, letters = F.sha1(text), F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
-    digits = []
-    for group in range(8):
-        value = F.conv(F.substring(digest, 5 * group + 1, 5), 16, 10).cast("int")
-        digits += [F.substr(letters, F.shiftright(value, shift).bitwiseAND(31) + 1, F.lit(1)) for shift in (15, 10, 5, 0)]
-    return F.concat(*digits)
+def base32(hex_digest: str) -> str:
+    return base64.b32encode(bytes.fromhex(hex_digest)).decode()
 
 
 def record_id(page_id: int | None) -> str:
@@ -73,7 +67,7 @@ def build_record(row: dict, date: str) -> bytes:
         ("WARC-Record-ID", record_id(row["page_id"])),
         ("WARC-Date", date),
         ("WARC-Target-URI", url),
-        ("WARC-Payload-Digest", f"sha1:{row['payload_digest']}"),
+        ("WARC-Payload-Digest", f"sha1:{base32(row['payload_sha1'])}"),
         ("Content-Type", "application/http; msgtype=response"),
     ]
     if revisit:
@@ -134,18 +128,22 @@ def _file_system(folder: str):
 
 
 def plan_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """page_id, url, html, payload_digest, record_type, refers_to. The hottest payload's rows are dealt by its
-    digest, in a plain join that adaptive execution splits."""
+    """page_id, url, html, payload_sha1 (hexadecimal), record_type, refers_to.
+
+    Digests are counted by themselves; only those that repeat are kept, a short row each. If there are few of
+    them, as counted, they go to the pages, and payloads stay where they lie; else the join is a plain one that
+    adaptive execution splits where a digest is hot."""
     html = F.coalesce("html", F.lit(""))
-    known = pages.select(F.col("page_id").cast("long"), "url", html.alias("html"), base32_sha1(html).alias("payload_digest"))
-    heads = known.groupBy("payload_digest").agg(F.max("page_id").alias("head"))
-    joined = known.join(heads, "payload_digest")
+    known = pages.select(F.col("page_id").cast("long"), "url", html.alias("html"), F.sha1(html).alias("payload_sha1"))
+    counted = known.groupBy("payload_sha1").agg(F.count(F.lit(1)).alias("pages"), F.max("page_id").alias("head"))
+    heads = store(counted.where("pages > 1").select("payload_sha1", "head"), "warc-repeats")
+    joined = known.join(small(heads, 100_000), "payload_sha1", "left")
     revisits = (F.octet_length("html") >= min_bytes) & F.col("head").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("head"))
     return joined.select(
         "page_id",
         "url",
         "html",
-        "payload_digest",
+        "payload_sha1",
         F.when(revisits, "revisit").otherwise("response").alias("record_type"),
         F.when(revisits, F.col("head")).alias("refers_to"),
     )
@@ -217,7 +215,8 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
                     names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
                 )
 
-    return archives.repartition("path").mapInArrow(rows, RECORD)
+    # A task for each archive: the list is so short that it would be put into one partition otherwise.
+    return archives.repartition(max(1, archives.count())).mapInArrow(rows, RECORD)
 
 
 def archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
