@@ -113,6 +113,31 @@ def test_near_duplicates_equal_brute_force(spark, odd_docs, no_docs):
     assert sorted(r["doc_id"] for r in stay if r["doc_id"] is not None) == sorted(k for k, v in top.items() if k == v)
 
 
+def test_different_texts_of_one_id_keep_their_links(spark):
+    """Each text of an id is compared, and what is near any of them belongs together."""
+    a, b = made_up(21, 90), made_up(22, 90)
+    near = lambda t, k: t.replace(t.split()[k], "changed", 1)
+    rows = [(5, a), (5, b), (2, near(a, 40)), (9, near(b, 50)), (7, made_up(23, 90)), (7, "short"), (1, "short"), (None, a), (8, ""), (8, b)]
+    found = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["kept"]) for r in rows_of(near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert found == {(5, 86): (2, False), (2, 86): (2, True), (9, 86): (2, False), (7, 86): (1, False), (7, 1): (1, False), (1, 1): (1, True), (None, 86): (None, True), (8, 0): (8, True), (8, 86): (2, False)}
+
+
+def test_components_equal_plain_ones(spark):
+    rng = random.Random(31)
+    chain = [(k, k + 1) for k in range(1000, 1400)]
+    star = [(5000, k) for k in range(5001, 5300)]
+    loose = [(rng.randrange(-300, 300), rng.randrange(-300, 300)) for _ in range(250)]
+    links = [*chain, *star, *loose, (7, 7), *star[:3]]
+    top = {x: x for pair in links for x in pair if pair[0] != pair[1]}
+    for _ in range(500):
+        for x, y in links:
+            if x != y:
+                top[x] = top[y] = min(top[x], top[y])
+    found = near_dedup.components(spark.createDataFrame(links, "a long, b long"))
+    assert {r.doc_id: r.label for r in found.collect()} == top
+    assert near_dedup.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_links_across_components_are_found_in_blocks(spark, monkeypatch):
     """A chain in which only neighbours are linked: hubs alone don't join it."""
     words = made_up(8, 400).split()
@@ -391,9 +416,59 @@ def test_toxicity_gradients_and_odd_texts(spark, odd_docs, no_docs):
 
 
 def test_toxicity_on_held_out_documents(spark):
-    labels = dict(duckdb.sql(f"select doc_id, toxic from '{SF_DIR}/labels.parquet' where toxic is not null").fetchall())
-    found = [(labels[r["doc_id"]], r["predicted"]) for r in rows_of(QUERIES["op5_toxicity"](spark, SF_DIR)) if r["held_out"] and r["doc_id"] in labels]
-    assert sum(a == b for a, b in found) >= 0.9 * len(found)
+    labels = dict(duckdb.sql(f"select doc_id, toxic from '/root/testdata/sf0.1/labels.parquet' where toxic is not null").fetchall())
+    found = [(labels[r["doc_id"]], r["predicted"]) for r in rows_of(QUERIES["op5_toxicity"](spark, "/root/testdata/sf0.1")) if r["held_out"] and r["doc_id"] in labels]
+    for kind in (0, 1):
+        of_kind = [predicted for toxic, predicted in found if toxic == kind]
+        assert len(of_kind) > 5 and sum(p == kind for p in of_kind) >= 0.9 * len(of_kind)
+
+
+def plain_score(network, text):
+    """The network written out word by word and unit by unit."""
+    w, h = network.w, toxicity.HIDDEN
+    one = lambda v: 1 / (1 + np.exp(-v))
+    words = [toxicity.bare(t) for t in text.lower().split()]
+    best = 0.0
+    for start in toxicity.windows(len(words)):
+        inputs = []
+        for word in words[start : start + toxicity.WINDOW]:
+            k = network.words.get(word, 0)
+            grams = [w["char"][g].astype(float) for g in toxicity.trigrams(word)]
+            inputs.append(np.concatenate([[network.odds[k]], w["word"][k], sum(grams) / len(grams)]) @ w["in"] + w["bias"])
+        states = np.zeros((len(inputs), 2 * h))
+        for at, name, order in ((0, "ahead", range(len(inputs))), (1, "back", reversed(range(len(inputs))))):
+            state = np.zeros(h)
+            for t in order:
+                x, s = inputs[t][3 * h * at :], state @ w[name]
+                z, r = one(x[:h] + s[:h]), one(x[h : 2 * h] + s[h : 2 * h])
+                state = state + z * (np.tanh(x[2 * h : 3 * h] + r * s[2 * h :]) - state)
+                states[t, h * at : h * at + h] = state
+        look = np.array([np.tanh(s @ w["mix"]) @ w["look"] for s in states])
+        share = np.exp(look - look.max()) / np.exp(look - look.max()).sum()
+        best = max(best, one(share @ states @ w["out"] + w["level"][0]))
+    return best
+
+
+def test_toxicity_scores_equal_a_plain_loop(spark):
+    rng = random.Random(17)
+    pool = made_up(17, 60).split() + ["vile", "Nice!", "...", "é"]
+    texts = [" ".join(rng.choice(pool) for _ in range(n)) for n in (1, 2, 63, 64, 65, 112, 113, 400, 5)]
+    network = toxicity.train(texts * 3, [k % 2 for k in range(27)], steps=40)
+    found = toxicity.score_texts(network, toxicity.WordGates(network), [*texts, None, " "])
+    assert np.allclose(found[:-2], [plain_score(network, t) for t in texts], atol=2e-5)
+    assert found[-1] == found[-2] == network.prior
+    small = toxicity.WordGates(network, limit=7)  # emptied again and again
+    assert np.allclose(toxicity.score_texts(network, small, texts), found[:-2], atol=1e-6)
+
+
+def test_toxicity_trains_on_one_text_of_an_id(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic: seen.update(texts=texts, toxic=toxic))
+    ids = [k for k in range(40) if zlib.crc32(str(k).encode()) % 5][:3]
+    docs = [(ids[0], "b"), (ids[0], "a"), (ids[1], "x" * 70_000), (ids[2], None), (None, "n")]
+    labels = [(ids[0], 1), (ids[0], 0), (ids[1], 0), (ids[2], 0), (None, 1)]
+    toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert [len(t or "") for t in seen["texts"]] == [1, 60_000, 0] and seen["toxic"] == [1, 0, 0] and seen["texts"][0] == "a"
 
 
 def test_archives_give_back_what_went_in(spark):

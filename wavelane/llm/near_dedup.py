@@ -12,12 +12,12 @@ of near copies is the one closest to the text they come from. Once these links a
 members of one bucket that are still apart are compared with each other, so no candidate that could join two
 components is left out. They are compared in blocks of ``BLOCK`` documents, and only links leave a block: a
 large group of texts just too different to be linked makes work, but no rows. Components come from rounds of
-minimum labels with pointer jumping, each written to the shared folder.
+contraction, each written to the shared folder.
 
 Defined results: a null, empty or blank text has an empty set, is linked with nothing and is its own
-component; a row that repeats another is returned as often; of different texts with one id, the least by
-set hash stands for the id in comparisons; a null id takes no part and is its own component (null);
-extra columns are not looked at; an empty table gives an empty result.
+component; a row that repeats another is returned as often; different texts with one id are compared each, and
+belong together; a null id takes no part and is its own component (null); extra columns are not looked at; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wavelane.llm.common import runs_of, store
@@ -248,24 +248,49 @@ def _across(apart: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """doc_id and the smallest id reachable over links (a, b), for every id in a link.
 
-    Each round gives a node the least label among its own and its neighbours', then follows labels to their
-    labels (pointer jumping), so rounds grow with the logarithm of the longest chain."""
-    both = store(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-graph")
-    labels = store(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("doc_id"), F.least("a", "m").alias("label")), "near-labels")
-    while True:
-        near = both.join(labels.withColumnRenamed("doc_id", "b"), "b").groupBy("a").agg(F.min("label").alias("m"))
-        pulled = labels.join(near.withColumnRenamed("a", "doc_id"), "doc_id").select(
-            "doc_id", F.col("label").alias("old"), F.least("label", "m").alias("label")
-        )
-        heads = labels.select(F.col("doc_id").alias("label"), F.col("label").alias("further"))
-        jumped = pulled.join(heads, "label", "left").select(
-            "doc_id", F.least("label", F.coalesce("further", "label")).alias("label"), (F.col("old") != F.least("label", F.coalesce("further", "label"))).alias("moved")
-        )
-        jumped = store(jumped, "near-labels")
-        moved = not jumped.where("moved").isEmpty()
-        labels = jumped.select("doc_id", "label")
-        if not moved:
-            return labels
+    By randomised contraction: each round gives the ids another random order, every id goes over to the first of
+    its neighbours and itself, and links are redrawn between what is left. A group around a hub is gone after
+    one round, and of a chain about a third goes, so all rounds together read little more than the first."""
+    ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    edges = store(ordered.where("a <> b").distinct(), "near-edges")
+    steps: list[DataFrame] = []
+    while not edges.isEmpty():
+        place = lambda c: F.struct(F.xxhash64(c, F.lit(len(steps))).alias("at"), F.col(c).alias("id"))
+        both = edges.union(edges.select("b", "a"))
+        first = both.groupBy("a").agg(F.min(place("b")).alias("near"))
+        step = store(first.select(F.col("a").alias("doc_id"), F.least("near", place("a"))["id"].alias("goes_to")), "near-step")
+        steps.append(step)
+        ends = [step.select(F.col("doc_id").alias(x), F.col("goes_to").alias(f"{x}_to")) for x in ("a", "b")]
+        redrawn = edges.join(ends[0], "a").join(ends[1], "b").where("a_to <> b_to")
+        edges = store(redrawn.select(F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).distinct(), "near-edges")
+    if not steps:
+        return links.select(F.col("a").alias("doc_id"), F.col("b").alias("label")).limit(0)
+    ends = steps[-1]
+    for step in reversed(steps[:-1]):
+        further = ends.select(F.col("doc_id").alias("goes_to"), F.col("goes_to").alias("end"))
+        ends = step.join(further, "goes_to", "left").select("doc_id", F.coalesce("end", "goes_to").alias("goes_to"))
+    ends = store(ends, "near-ends")
+    least = ends.groupBy("goes_to").agg(F.min("doc_id").alias("label"))
+    return store(ends.join(least, "goes_to").select("doc_id", "label"), "near-labels")
+
+
+def _classes(sets: DataFrame) -> DataFrame:
+    """A row for each different set: a number of its own, its smallest id, size and registers.
+
+    The number is a hash; should two sets have the same one, the later goes to the next number."""
+    distinct = sets.groupBy("set_hash").agg(
+        F.min("doc_id").alias("head"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")
+    )
+    number = F.xxhash64("set_hash")
+    again = F.row_number().over(Window.partitionBy(number).orderBy("set_hash")) - 1
+    return distinct.select((number + again).alias("doc_id"), "set_hash", "head", "n_shingles", "registers")
+
+
+def _with_labels(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links between the labels of their ends."""
+    ends = [labels.select(F.col("doc_id").alias(x), F.col("label").alias(f"{x}_to")) for x in ("a", "b")]
+    both = links.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    return both.select(F.coalesce("a_to", "a").alias("a"), F.coalesce("b_to", "b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -273,28 +298,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketches = store(texts.mapInArrow(_sketch_batches, SKETCH_SCHEMA), "near-sketches")
     sets = sketches.where("n_shingles > 0 and doc_id is not null")
-    # Equal sets are one class, known by its smallest id.
-    classes = store(sets.groupBy("set_hash").agg(F.min("doc_id").alias("head")), "near-classes")
-    heads = store(
-        sets.join(classes.select("set_hash", F.col("head").alias("doc_id")), ["set_hash", "doc_id"], "left_semi")
-        .groupBy("doc_id")
-        .agg(F.min(F.struct("set_hash", "n_shingles", "registers")).alias("x"))
-        .select("doc_id", "x.*"),
-        "near-heads",
-    )
+    # Equal sets are one class. From here to the end, doc_id is the number of a class.
+    heads = store(_classes(sets), "near-heads")
     buckets = heads.select("doc_id", "registers").mapInArrow(_band_batches, "doc_id long, key long")
     sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     crowded = store(buckets.join(sizes, "key"), "near-buckets")
     company = store(crowded.groupBy("doc_id").agg(F.sum("n").alias("company")), "near-company")
     ranked = store(crowded.select("key", "doc_id").join(company, "doc_id"), "near-ranked")
-    hubs = ranked.groupBy("key").agg(F.max(F.struct("company", -F.col("doc_id"))).alias("x")).select("key", (-F.col("x.col2")).alias("hub"))
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("company", "doc_id")).alias("x")).select("key", F.col("x.doc_id").alias("hub"))
     to_hub = ranked.join(hubs, "key").where("doc_id <> hub")
     to_hub = store(to_hub.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct(), "near-to-hub")
-    # The sets of all documents that have company in a bucket: what any comparison may need.
-    wanted = company.select("doc_id")
-    members = texts.join(wanted, "doc_id", "left_semi").mapInArrow(_set_batches, "doc_id long, set_hash binary, members binary")
-    members = members.join(heads.select("doc_id", "set_hash"), ["doc_id", "set_hash"], "left_semi")
-    full = store(members.dropDuplicates(["doc_id"]), "near-sets")
+    # The sets of all classes that have company in a bucket: what any comparison may need.
+    wanted = store(heads.join(company, "doc_id", "left_semi").select("doc_id", "set_hash", "head"), "near-wanted")
+    members = texts.join(wanted.select(F.col("head").alias("doc_id")), "doc_id", "left_semi")
+    members = members.mapInArrow(_set_batches, "doc_id long, set_hash binary, members binary")
+    members = members.select(F.col("doc_id").alias("head"), "set_hash", "members").join(wanted, ["head", "set_hash"])
+    full = store(members.select("doc_id", "members").dropDuplicates(["doc_id"]), "near-sets")
     links = _confirm(to_hub, heads, full)
     labels = components(links)
     # Members of a bucket in different components: every such pair is a candidate that could join them.
@@ -302,11 +321,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     mixed_keys = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
     apart = store(placed.join(mixed_keys, "key"), "near-apart")
     more = _across(apart, heads, full)
-    labels = components(links.union(more))
-    of_class = classes.join(labels.withColumnRenamed("doc_id", "head"), "head", "left").select(
-        "set_hash", F.coalesce("label", "head").alias("component")
-    )
-    found = sketches.select("doc_id", "n_shingles", "set_hash").join(of_class, "set_hash", "left")
+    # Different texts of one id belong together.
+    numbers = heads.select("set_hash", F.col("doc_id").alias("class"))
+    several = sets.groupBy("doc_id").agg(F.min("set_hash").alias("lo"), F.max("set_hash").alias("hi")).where("lo < hi")
+    of_id = sets.join(several.select("doc_id", "lo"), "doc_id").select("set_hash", "lo").distinct().join(numbers, "set_hash")
+    of_id = of_id.join(numbers.select(F.col("set_hash").alias("lo"), F.col("class").alias("b")), "lo").select(F.col("class").alias("a"), "b")
+    joined = components(_with_labels(more.union(of_id), labels))
+    further = joined.select(F.col("doc_id").alias("label"), F.col("label").alias("end"))
+    ends = heads.select("doc_id", "set_hash", "head").join(labels, "doc_id", "left")
+    ends = ends.select("set_hash", "head", F.coalesce("label", "doc_id").alias("label")).join(further, "label", "left")
+    ends = store(ends.select("set_hash", "head", F.coalesce("end", "label").alias("label")), "near-ends")
+    least = ends.groupBy("label").agg(F.min("head").alias("component"))
+    of_class = ends.join(least, "label").select("set_hash", "component")
+    found = sketches.select("doc_id", "n_shingles", "set_hash").join(of_class.withColumnRenamed("set_hash", "of"), F.col("doc_id").isNotNull() & (F.col("set_hash") == F.col("of")), "left")
     found = found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return found.select("*", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
