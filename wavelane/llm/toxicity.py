@@ -19,6 +19,8 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,7 @@ from wavelane.llm.common import hashed_sample
 WINDOW, STRIDE = 64, 48
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 6
 TRIGRAMS, VOCABULARY = 1024, 20_000
+TOGETHER = 192  # windows read at once: their gates stay in a processor's cache
 EDGE = ".,;:!?\"'()[]{}<>*#$%&|/\\-_=+~`"
 
 
@@ -49,9 +52,32 @@ def windows(n: int) -> list[int]:
     return [*range(0, n - WINDOW, STRIDE), n - WINDOW]
 
 
+class Trigrams(dict):
+    """Row of each trigram, by a hash; emptied when it holds ``limit``."""
+
+    def __init__(self, limit: int = 200_000):
+        super().__init__()
+        self.limit = limit
+
+    def __missing__(self, gram: str) -> int:
+        if len(self) >= self.limit:
+            self.clear()
+        self[gram] = found = zlib.crc32(gram.encode("utf-8", "replace")) % TRIGRAMS
+        return found
+
+
+_TRIGRAMS = Trigrams()
+
+
 def trigrams(word: str) -> list[int]:
     padded = f"^{word}$"
-    return [zlib.crc32(padded[k : k + 3].encode("utf-8", "replace")) % TRIGRAMS for k in range(max(1, len(padded) - 2))]
+    return [_TRIGRAMS[padded[k : k + 3]] for k in range(max(1, len(padded) - 2))]
+
+
+def _flat(grams: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of numbers one after the other, and their lengths."""
+    lengths = np.fromiter(map(len, grams), np.int64, len(grams))
+    return np.fromiter(chain.from_iterable(grams), np.int64, int(lengths.sum())), lengths
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -88,7 +114,9 @@ class Network:
 
     def inputs(self, index: np.ndarray, odds: np.ndarray, grams: list[list[int]]) -> np.ndarray:
         """Word vectors: log odds, word embedding (row 0: unknown), mean trigram embedding."""
-        char = np.stack([self.w["char"][g].mean(axis=0) for g in grams]) if grams else np.zeros((0, CHAR_DIM), np.float32)
+        flat, lengths = _flat(grams)
+        sums = np.add.reduceat(self.w["char"][flat], np.cumsum(lengths) - lengths, axis=0) if grams else np.zeros((0, CHAR_DIM), np.float32)
+        char = sums / np.maximum(lengths, 1)[:, None]
         return np.concatenate([odds[:, None], self.w["word"][index], char], axis=1).astype(np.float32)
 
     def read(self, gates: np.ndarray, there: np.ndarray, keep: bool = False):
@@ -116,24 +144,47 @@ class Network:
         logit = pooled @ self.w["out"] + self.w["level"][0]
         return logit, (states, mixed, weight, pooled, memory)
 
+    def packed(self) -> np.ndarray:
+        """The recurrent weights of both directions as one matrix, gates as ``WordGates`` lays them out."""
+        h = HIDDEN
+        u = np.zeros((2, h, 3, 2, h), np.float32)
+        for at, name in enumerate(("ahead", "back")):
+            u[at, :, :, at] = self.w[name].reshape(h, 3, h)
+        u[:, :, :2] *= 0.5
+        return u.reshape(2 * h, 6 * h)
+
     def logits(self, table: np.ndarray, index: np.ndarray) -> np.ndarray:
-        """What ``read`` gives for windows of rows of ``table`` (row 0: padding), laid out by step, so that a
-        step's inputs lie side by side."""
+        """What ``read`` gives for windows of rows of ``table`` (row 0: padding).
+
+        Both directions take a step together, one from each end. The inputs of a step lie side by side, in the
+        order update, reset, candidate and in each ahead, back. Update and reset come halved, as a sigmoid is
+        the hyperbolic tangent of half its argument; at padding the update is so low that the state stays."""
         h, order = HIDDEN, np.ascontiguousarray(index.T)
-        there = (order > 0).astype(np.float32)
-        padded = not there.all()
-        gates = table[order]
-        states = np.empty((*order.shape, 2 * h), np.float32)
-        for name, at, steps in (("ahead", 0, range(len(order))), ("back", 1, range(len(order) - 1, -1, -1))):
-            u, state = self.w[name], np.zeros((order.shape[1], h), np.float32)
-            for t in steps:
-                x, s = gates[t, :, 3 * h * at : 3 * h * (at + 1)], state @ u
-                zr = sigmoid(x[:, : 2 * h] + s[:, : 2 * h])
-                z = zr[:, :h] * there[t, :, None] if padded else zr[:, :h]
-                c = np.tanh(x[:, 2 * h :] + zr[:, h:] * s[:, 2 * h :])
-                state = state + z * (c - state)
-                states[t, :, h * at : h * (at + 1)] = state
-        weight = np.where(there > 0, np.tanh(states @ self.w["mix"]) @ self.w["look"], np.float32(-1e9))
+        steps, n = order.shape
+        gates = np.empty((steps, n, 3, 2, h), np.float32)
+        halves = table.reshape(-1, 3, 2, h)
+        gates[:, :, :, 0] = halves[order, :, 0]
+        gates[:, :, :, 1] = halves[order[::-1], :, 1]
+        gates = gates.reshape(steps, n, 6 * h)
+        u, state = self.packed(), np.zeros((n, 2 * h), np.float32)
+        states = np.empty((steps, n, 2, h), np.float32)
+        for t in range(steps):
+            s = state @ u
+            both = gates[t, :, : 4 * h] + s[:, : 4 * h]
+            np.tanh(both, out=both)
+            both *= 0.5
+            both += 0.5
+            c = s[:, 4 * h :]
+            c *= both[:, 2 * h :]
+            c += gates[t, :, 4 * h :]
+            np.tanh(c, out=c)
+            c -= state
+            c *= both[:, : 2 * h]
+            state = state + c
+            states[t, :, 0] = state[:, :h]
+            states[steps - 1 - t, :, 1] = state[:, h:]
+        states = states.reshape(steps, n, 2 * h)
+        weight = np.where(order > 0, np.tanh(states @ self.w["mix"]) @ self.w["look"], np.float32(-1e9))
         weight = np.exp(weight - weight.max(axis=0))
         pooled = np.einsum("tn,tnh->nh", weight, states) / weight.sum(axis=0)[:, None]
         return pooled @ self.w["out"] + self.w["level"][0]
@@ -172,19 +223,25 @@ class Network:
         g["bias"] = dgates.sum(axis=(0, 1))
         dx = dgates @ w["in"].T
         np.add.at(g["word"], index, dx[:, :, 1 : 1 + WORD_DIM] * there[:, :, None])
-        for n, window in enumerate(grams):
-            for t, gram in enumerate(window):
-                g["char"][gram] += dx[n, t, 1 + WORD_DIM :] / len(gram)
+        flat, lengths = _flat([gram for window in grams for gram in window])
+        each = np.concatenate([dx[n, : len(window), 1 + WORD_DIM :] for n, window in enumerate(grams)]) / lengths[:, None]
+        np.add.at(g["char"], flat, np.repeat(each, lengths, axis=0))
         return loss, g
 
 
 class WordGates:
-    """What each distinct token adds to the gates, worked out once; emptied when it holds ``limit`` rows."""
+    """What each distinct token adds to the gates, worked out once and laid out as ``Network.logits`` reads it;
+    emptied when it holds ``limit`` rows. Row 0 is padding."""
 
-    def __init__(self, network: Network, limit: int = 100_000):
-        self.network, self.limit = network, limit
+    def __init__(self, network: Network, limit: int = 300_000):
+        self.network = network
+        self._empty(limit)
+
+    def _empty(self, limit: int) -> None:
+        self.limit = limit
         self.rows: dict[str, int] = {}
         self.table = np.zeros((limit + 1, 6 * HIDDEN), np.float32)
+        self.table[0, : 2 * HIDDEN] = -1e9
 
     def indices(self, found: list[str]) -> np.ndarray:
         new = list(set(found).difference(self.rows))
@@ -192,14 +249,15 @@ class WordGates:
             self.rows.clear()
             new = list(set(found))
             if len(new) > self.limit:  # one text with more distinct tokens than that
-                self.limit = len(new)
-                self.table = np.zeros((self.limit + 1, 6 * HIDDEN), np.float32)
+                self._empty(len(new))
         if new:
             net, plain = self.network, [bare(t) for t in new]
             index = np.array([net.words.get(p, 0) for p in plain])
             x = net.inputs(index, net.odds[index], [trigrams(p) for p in plain])
             first = len(self.rows) + 1
-            self.table[first : first + len(new)] = x @ net.w["in"] + net.w["bias"]
+            gates = (x @ net.w["in"] + net.w["bias"]).reshape(-1, 2, 3, HIDDEN).swapaxes(1, 2)
+            gates[:, :2] *= 0.5
+            self.table[first : first + len(new)] = gates.reshape(-1, 6 * HIDDEN)
             self.rows.update(zip(new, range(first, first + len(new))))
         return np.fromiter(map(self.rows.__getitem__, found), np.int64, len(found))
 
@@ -230,12 +288,12 @@ def score_texts(network: Network, gates: WordGates, texts: list[str | None]) ->
             held = 0
         index = gates.indices(found)
         starts = np.array(windows(len(index)))
-        for at in range(0, len(starts), 1024):
-            place = starts[at : at + 1024, None] + np.arange(WINDOW)
+        for at in range(0, len(starts), TOGETHER):
+            place = starts[at : at + TOGETHER, None] + np.arange(WINDOW)
             rows.append(np.where(place < len(index), index[np.minimum(place, len(index) - 1)], 0))
             owners.append(np.full(len(place), k))
             held += len(place)
-            if held >= 1024:
+            if held >= TOGETHER:
                 flush()
                 held = 0
     flush()
@@ -275,6 +333,14 @@ def train(texts: list[str | None], toxic: list[int], steps: int = 400, batch: in
     kinds = [[k for k, (_, label) in enumerate(examples) if label == c] for c in (0, 1)]
     if not kinds[0] or not kinds[1]:
         return Network()
+
+    @lru_cache(None)
+    def prepared(k: int) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
+        """Rows, log odds and trigrams of an example's words."""
+        words_, label = examples[k]
+        own = np.array([index.get(w, 0) for w in words_])
+        return own, np.array([odds(w, label) if r else 0.0 for w, r in zip(words_, own)], np.float32), [trigrams(w) for w in words_]
+
     first, second = ({k: np.zeros_like(v) for k, v in network.w.items()} for _ in range(2))
     for step in range(1, steps + 1):
         chosen = [*rng.choice(kinds[1], batch // 3), *rng.choice(kinds[0], batch - batch // 3)]
@@ -283,12 +349,12 @@ def train(texts: list[str | None], toxic: list[int], steps: int = 400, batch: in
         for n, k in enumerate(chosen):
             words_, label = examples[k]
             # Now and then a word is taken for unknown, so that characters must do.
-            known_rows = np.array([index.get(w, 0) for w in words_]) * (rng.random(len(words_)) > 0.05)
-            value = np.array([odds(w, label) if r else 0.0 for w, r in zip(words_, known_rows)], np.float32)
-            gram = [trigrams(w) for w in words_]
-            x[n, : len(words_)] = network.inputs(known_rows, value, gram)
+            own_rows, own_odds, own_grams = prepared(k)
+            known_rows = own_rows * (rng.random(len(words_)) > 0.05)
+            value = np.where(known_rows > 0, own_odds, np.float32(0))
+            x[n, : len(words_)] = network.inputs(known_rows, value, own_grams)
             there[n, : len(words_)], rows[n, : len(words_)] = 1, known_rows
-            grams.append(gram)
+            grams.append(own_grams)
         _, g = network.gradients(x, rows, grams, there, np.array([examples[k][1] for k in chosen], np.float32))
         for k, v in network.w.items():
             first[k] = 0.9 * first[k] + 0.1 * g[k]
@@ -303,12 +369,14 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, max_training_rows: int = 6000, max_training_chars: int = 60_000) -> Network:
     """Train on labelled documents that are not held out: about ``max_training_rows`` at most, chosen by a
-    hash of the id, none longer than ``max_training_chars``. They are what the driver gets."""
+    hash of the id, one text of each id (the least), of which the first ``max_training_chars`` characters are
+    taken. They are what the driver gets."""
     usable = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = hashed_sample(usable, "doc_id", max_training_rows)
     # At most about max_training_rows short rows: the bound of this broadcast.
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.length("text") <= max_training_chars)
-    rows = sorted(sample.select("doc_id", "text", "toxic").toArrow().to_pylist(), key=lambda r: (r["doc_id"], r["text"]))
+    sample = docs.select("doc_id", F.substring("text", 1, max_training_chars).alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = sample.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic").toArrow().to_pylist()
+    rows.sort(key=lambda r: r["doc_id"])
     return train([r["text"] for r in rows], [int(r["toxic"] > 0) for r in rows])
 
 
