@@ -5,6 +5,7 @@ import collections
 import hashlib
 import random
 import re
+import uuid
 import zlib
 
 import duckdb
@@ -12,7 +13,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from wavelane.llm import html_text, mixing, multi_index, near_dedup, packing, quality_rules, repeats, toxicity, url_filter, warc
+from wavelane.llm import common, html_text, mixing, multi_index, near_dedup, packing, quality_rules, repeats, toxicity, url_filter, warc
 from wavelane.llm.bin_plan import plan_bins
 from wavelane.llm.common import read, store
 from wavelane.llm.queries import QUERIES, domain_of_source, labelled_pages, tokenizer_path
@@ -192,6 +193,15 @@ def test_cuts_keep_replacement_characters_of_the_text(spark):
     assert found == {1: own + " tail \ufffd", 2: " more", 3: "none \ufffd here"}
 
 
+def test_written_intermediates_go_once_they_are_used(spark, odd_docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_dir", lambda spark, purpose: f"{tmp_path}/{purpose}-{uuid.uuid4().hex}")
+    single = near_dedup.without_duplicates(odd_docs)
+    cut = repeats.without_repeats(odd_docs)
+    left = sorted(x.name.rsplit("-", 1)[0] for x in tmp_path.iterdir())
+    assert left == ["near-again", "near-kept", "repeat-cuts", "repeat-texts"]
+    assert single.count() and cut.count()
+
+
 def test_suffix_array_equals_sorting():
     rng = random.Random(0)
     for _ in range(300):

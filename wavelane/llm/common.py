@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +29,29 @@ def words(text: Column) -> Column:
     return F.when(F.length(trimmed) > 0, F.split(trimmed, WHITE_RUN)).otherwise(nothing)
 
 
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def store(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the folder all executors share and read it again: the lineage ends there, so a lost
     executor costs no more than the tasks it ran."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[stored] = path
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove what ``store`` wrote for these tables; others are left alone. For tables of which all that is
+    still to be read has itself been stored."""
+    for table in tables:
+        folder = _FOLDERS.pop(table, None)
+        if folder:
+            spark = table.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def hashed_sample(df: DataFrame, key: str, rows: int, seed: int = 0) -> DataFrame:

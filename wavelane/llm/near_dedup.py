@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wavelane.llm.common import runs_of, store
+from wavelane.llm.common import discard, runs_of, store
 from wavelane.llm.shingles import WordHashes, mixed, shingle_set
 
 REGISTERS, BAND, BASE, RATE, TOP = 128, 4, 1.001, 20.0, 65534
@@ -190,7 +190,9 @@ def _confirm(pairs: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
     likely = store(sized.mapInPandas(_likely, "a long, b long"), "near-likely")
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("members").alias(f"members_{x}"))
     both = likely.join(side("b"), "b").join(side("a"), "a")
-    return store(both.mapInPandas(_verified, "a long, b long"), "near-links")
+    links = store(both.mapInPandas(_verified, "a long, b long"), "near-links")
+    discard(likely)
+    return links
 
 
 def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +236,8 @@ def _across(apart: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
     blocks meets in a task of its own."""
     first = apart.groupBy("key").agg(F.min("doc_id").alias("a"))
     touching = apart.join(first, "key").where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
-    group = components(touching).select("doc_id", F.col("label").alias("group"))
+    groups = components(touching)
+    group = groups.select("doc_id", F.col("label").alias("group"))
     sizes = group.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("blocks"))
     members = apart.select("doc_id", "label").distinct().join(group, "doc_id").join(sizes, "group")
     members = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
@@ -242,7 +245,9 @@ def _across(apart: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
     dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other", "blocks")
     keys = ["group", "low", "high"]
-    return store(dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_block_batches, "a long, b long"), "near-across")
+    links = store(dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_block_batches, "a long, b long"), "near-across")
+    discard(groups)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -262,7 +267,10 @@ def components(links: DataFrame) -> DataFrame:
         steps.append(step)
         ends = [step.select(F.col("doc_id").alias(x), F.col("goes_to").alias(f"{x}_to")) for x in ("a", "b")]
         redrawn = edges.join(ends[0], "a").join(ends[1], "b").where("a_to <> b_to")
+        before = edges
         edges = store(redrawn.select(F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).distinct(), "near-edges")
+        discard(before)
+    discard(edges)
     if not steps:
         return links.select(F.col("a").alias("doc_id"), F.col("b").alias("label")).limit(0)
     ends = steps[-1]
@@ -271,7 +279,9 @@ def components(links: DataFrame) -> DataFrame:
         ends = step.join(further, "goes_to", "left").select("doc_id", F.coalesce("end", "goes_to").alias("goes_to"))
     ends = store(ends, "near-ends")
     least = ends.groupBy("goes_to").agg(F.min("doc_id").alias("label"))
-    return store(ends.join(least, "goes_to").select("doc_id", "label"), "near-labels")
+    labels = store(ends.join(least, "goes_to").select("doc_id", "label"), "near-labels")
+    discard(ends, *steps)
+    return labels
 
 
 def _classes(sets: DataFrame) -> DataFrame:
@@ -295,6 +305,11 @@ def _with_labels(links: DataFrame, labels: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
+    return _near_duplicates(docs)[0]
+
+
+def _near_duplicates(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """What ``near_duplicates`` returns, and the stored tables that it is read from."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketches = store(texts.mapInArrow(_sketch_batches, SKETCH_SCHEMA), "near-sketches")
     sets = sketches.where("n_shingles > 0 and doc_id is not null")
@@ -308,19 +323,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     hubs = ranked.groupBy("key").agg(F.max(F.struct("company", "doc_id")).alias("x")).select("key", F.col("x.doc_id").alias("hub"))
     to_hub = ranked.join(hubs, "key").where("doc_id <> hub")
     to_hub = store(to_hub.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct(), "near-to-hub")
+    discard(ranked)
     # The sets of all classes that have company in a bucket: what any comparison may need.
     wanted = store(heads.join(company, "doc_id", "left_semi").select("doc_id", "set_hash", "head"), "near-wanted")
     members = texts.join(wanted.select(F.col("head").alias("doc_id")), "doc_id", "left_semi")
     members = members.mapInArrow(_set_batches, "doc_id long, set_hash binary, members binary")
     members = members.select(F.col("doc_id").alias("head"), "set_hash", "members").join(wanted, ["head", "set_hash"])
     full = store(members.select("doc_id", "members").dropDuplicates(["doc_id"]), "near-sets")
+    discard(company, wanted)
     links = _confirm(to_hub, heads, full)
     labels = components(links)
+    discard(to_hub, links)
     # Members of a bucket in different components: every such pair is a candidate that could join them.
     placed = crowded.join(labels, "doc_id", "left").select("key", "doc_id", F.coalesce("label", "doc_id").alias("label"))
     mixed_keys = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
     apart = store(placed.join(mixed_keys, "key"), "near-apart")
+    discard(crowded)
     more = _across(apart, heads, full)
+    discard(apart, full)
     # Different texts of one id belong together.
     numbers = heads.select("set_hash", F.col("doc_id").alias("class"))
     several = sets.groupBy("doc_id").agg(F.min("set_hash").alias("lo"), F.max("set_hash").alias("hi")).where("lo < hi")
@@ -331,18 +351,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ends = heads.select("doc_id", "set_hash", "head").join(labels, "doc_id", "left")
     ends = ends.select("set_hash", "head", F.coalesce("label", "doc_id").alias("label")).join(further, "label", "left")
     ends = store(ends.select("set_hash", "head", F.coalesce("end", "label").alias("label")), "near-ends")
+    discard(heads, labels, more, joined)
     least = ends.groupBy("label").agg(F.min("head").alias("component"))
     of_class = ends.join(least, "label").select("set_hash", "component")
     found = sketches.select("doc_id", "n_shingles", "set_hash").join(of_class.withColumnRenamed("set_hash", "of"), F.col("doc_id").isNotNull() & (F.col("set_hash") == F.col("of")), "left")
     found = found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    return found.select("*", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return found.select("*", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")), [sketches, ends]
 
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each component of ``docs``, all columns; rows that repeat an id with the same text
     count as copies of each other; rows without an id stay."""
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    stay = docs.join(store(kept, "near-kept"), "doc_id", "left_semi").select(*docs.columns)
+    found, tables = _near_duplicates(docs)
+    kept = store(found.where("kept and doc_id is not null").select("doc_id").distinct(), "near-kept")
+    discard(*tables)
+    stay = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
     again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null").select("doc_id")
     again = store(again, "near-again")
     if not again.isEmpty():

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from wavelane.llm.common import store
+from wavelane.llm.common import discard, store
 from wavelane.llm.shingles import mixed
 from wavelane.llm.suffix_array import equal_runs, suffix_array
 
@@ -313,11 +313,13 @@ def _hot_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def _hot_intervals(pieces: DataFrame) -> DataFrame:
-    """What ``_cold_batches`` finds, for anchors with very many surroundings, by counting hashes."""
-    rows = store(pieces.mapInArrow(_hot_batches, HOT_WINDOWS), "repeat-hot")
-    cores = store(_more_than_once(rows, "core"), "repeat-cores")
-    rows = store(rows.join(cores, "core"), "repeat-hot-cores")
+def _hot_intervals(pieces: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """What ``_cold_batches`` finds, for anchors with very many surroundings, by counting hashes; and the stored
+    tables that it is read from."""
+    every = store(pieces.mapInArrow(_hot_batches, HOT_WINDOWS), "repeat-hot")
+    cores = store(_more_than_once(every, "core"), "repeat-cores")
+    rows = store(every.join(cores, "core"), "repeat-hot-cores")
+    discard(every, cores)
     # Where all the windows are repeated together, none needs a look of its own.
     spans = store(_more_than_once(rows, "whole"), "repeat-spans")
     first = F.col("at") - F.col("q") * BLOCK
@@ -328,7 +330,7 @@ def _hot_intervals(pieces: DataFrame) -> DataFrame:
     left = rows.where("alone").join(spans, "whole", "left_anti").select("doc", "version", first.alias("first"), F.posexplode("windows").alias("e", "hash"))
     low = F.col("first") - F.col("e")
     some = left.join(seen, "hash").select("doc", "version", low.alias("low"), (low + LENGTH).alias("high"))
-    return whole.union(some)
+    return whole.union(some), [rows, spans, seen]
 
 
 def _more_than_once(rows: DataFrame, column: str) -> DataFrame:
@@ -385,6 +387,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], keep_bytes: bool = False)
     )
     again = store(_more_than_once(found, "key"), "repeat-keys")
     repeated = store(found.join(again, "key"), "repeat-repeated")
+    discard(found, again)
     classes = store(
         repeated.groupBy("key", "around").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "version", "at")).alias("first")),
         "repeat-classes",
@@ -412,12 +415,15 @@ def remove_repeats(docs: DataFrame, carry: list[str], keep_bytes: bool = False)
         ),
         "repeat-texts",
     )
+    discard(repeated, classes)
     cut_out = store(
         placed.where(F.size("pieces") > 0).select("doc", "version", "text", "pieces").mapInArrow(_piece_batches, PIECE), "repeat-pieces"
     )
     cold = cut_out.where("not hot").repartition("key").sortWithinPartitions("key").mapInArrow(_cold_batches, CUT)
-    cuts = cold.union(_hot_intervals(cut_out.where("hot"))).groupBy("doc", "version").agg(F.collect_set(F.struct("low", "high")).alias("cuts"))
-    changed = placed.where(touched).join(store(cuts, "repeat-cuts"), ["doc", "version"], "left").select("row", "text", "whole", "cuts")
+    hot, hot_tables = _hot_intervals(cut_out.where("hot"))
+    cuts = store(cold.union(hot).groupBy("doc", "version").agg(F.collect_set(F.struct("low", "high")).alias("cuts")), "repeat-cuts")
+    discard(cut_out, *hot_tables)
+    changed = placed.where(touched).join(cuts, ["doc", "version"], "left").select("row", "text", "whole", "cuts")
     row = changed.schema["row"]
     schema = StructType(
         [row]
