@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavelane.llm import mixing, near_dedup, packing, quality_rules, repeats
-from wavelane.llm.common import read, store
+from wavelane.llm.common import discard, read, store
 from wavelane.llm.queries import WEIGHTS, domain_of_source, tokenizer_path
 
 
@@ -50,5 +50,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        before, docs = docs, store(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        discard(before)
     return docs
