@@ -5,6 +5,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import uuid
 import zlib
 
@@ -367,7 +368,7 @@ def test_hidden_elements_end_where_they_end(source, lines):
     assert [t for t in html_text.parse(source).text if t is not None] == lines
 
 
-def test_labelled_pages_are_short_and_one_of_each_id(spark, tmp_path):
+def test_labelled_pages_are_one_of_each_id_and_of_any_length(spark, tmp_path):
     page = lambda n, words="": f"<article><p>Text {n} of the article, as long as it is.{words}</p></article>"
     pages = [(k, f"http://a.b/{k}", page(k)) for k in range(6)] + [(1, "http://a.b/1", page(1))] * 3
     pages += [(None, "http://a.b/2", page(2)), (None, "http://a.b/3", page(3)), (7, "http://a.b/4", page(4, " more" * 30_000)), (8, "http://a.b/5", None)]
@@ -375,8 +376,10 @@ def test_labelled_pages_are_short_and_one_of_each_id(spark, tmp_path):
     docs = [(k, f"Text {k} of the article, as long as it is.") for k in range(6)] + [(3, "Another text with this id.")]
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     few = rows_of(labelled_pages(spark, str(tmp_path)))
-    assert sorted(r["page_id"] for r in few) == [0, 1, 2, 3, 3, 4, 5]
-    assert max(len(r["html"]) for r in few) < 100
+    assert sorted(r["page_id"] for r in few) == [0, 1, 2, 3, 3, 4, 5, 7]
+    assert max(len(r["html"]) for r in few) > 100_000
+    whole, begun = (html_text.labelled_tree(page(1, "</p><p>no" * 5000), docs[1][1] + "\nno", n) for n in (10**6, 2000))
+    assert len(begun.parent) == 2000 and all(a == b[:2000] for a, b in zip(begun[:4], whole))
     found = rows_of(QUERIES["op3_html_text"](spark, str(tmp_path)))
     assert sorted(map(str, (r["page_id"] for r in found))) == sorted(str(p[0]) for p in pages)
 
@@ -388,6 +391,62 @@ def test_html_query_equals_the_article(spark):
         assert r["text"] == "\n".join(t for t in html_text.parse(inside).text if t)
 
 
+def test_html_text_equals_text_by_hand(spark):
+    head = "<html><head><title>t</title><script>if (a < b) { c(); }</script></head><body><nav><ul><li><a href=/x>Home</a></li></ul></nav>"
+    foot = "<aside><ul><li><a href=/y>More</a></li></ul></aside><footer><a href=/z>All rights</a></footer></body></html>"
+    plain = head + "<article><h1>A &amp; B</h1><p>One <b>bold</b>\n word &#8212; and more.</p><ul><li>First item of it.</li></ul></article>" + foot
+    broken = head + "<article><h1>Open</h1><p>No end tags here, none at all.<p>Second<br>line</span></section> goes on.</article><div class=ad>Buy now"
+    long = head + "<article>" + "<p>A paragraph of a very long page, as such pages have.</p>" * 30_000 + "</article>" + foot
+    rows = [(1, "u", plain, 0, "x"), (2, "u", broken, 0, "x"), (3, "u", long, 0, "x"), (3, "u", long, 1, "x")]
+    names = "page_id long, url string, html string, n_chars int, text string"
+    model = html_text.fit(labelled_pages(spark, SF_DIR))
+    found = collections.Counter((r["page_id"], r["text"]) for r in rows_of(html_text.extract_pages(spark.createDataFrame(rows, names), model)))
+    paragraphs = "\n".join(["A paragraph of a very long page, as such pages have."] * 30_000)
+    assert found[1, "A & B\nOne bold word \u2014 and more.\nFirst item of it."] == 1
+    assert found[2, "Open\nNo end tags here, none at all.\nSecond line goes on."] == 1
+    assert found[3, paragraphs] == 2
+    none = spark.createDataFrame([], names)
+    assert html_text.extract_pages(none, html_text.fit(none)).count() == 0
+
+
+def test_hostile_pages_take_time_by_their_length():
+    n = 60_000
+    began = time.perf_counter()
+    for source in ("<div>" * n + "</p>" * n, "<table><tr>" + "<foo>" * n + "<dt>x</dt>" * n, "<svg>" * n + "</svg>" * n, "<svg>" + "<div>" * n + "</p>" * n):
+        html_text.parse(source)
+    assert time.perf_counter() - began < 60
+
+
+def test_slope_of_the_likelihood_equals_enumeration():
+    """Value and slope, by trying all states of small labelled trees of different importance."""
+    rng = np.random.default_rng(4)
+    trees = []
+    for importance, source in ((1.0, "<div><p>a</p><nav>b c</nav></div>"), (0.3, "<article><h1>t</h1>some words.</article>")):
+        page = html_text.parse(source)
+        trees.append(html_text.Tree(page.parent, page.features, [t is not None for t in page.text], (rng.random(len(page.parent)) < 0.5).tolist(), importance))
+    forest = html_text.Forest(trees)
+    theta = rng.normal(size=len(forest.names) + 8)
+
+    def energy(tree, state, theta):
+        total = sum(theta[forest.names[f]] * x for few, x in zip(tree.features, state) for f in few)
+        pairs = theta[-8:].reshape(2, 4)
+        return total + sum(pairs[int(tree.is_text[i]), 2 * state[tree.parent[i]] + state[i]] for i in range(1, len(state)))
+
+    def plain(theta):
+        value = 0.0
+        for tree in trees:
+            n = len(tree.parent)
+            every = [energy(tree, [(k >> i) & 1 for i in range(n)], theta) for k in range(1 << n)]
+            value += tree.importance * (energy(tree, [int(x) for x in tree.label], theta) - np.logaddexp.reduce(every))
+        return value
+
+    value, slope = forest.likelihood(theta)
+    step = 1e-5 * np.eye(len(theta))
+    assert np.isclose(value, plain(theta))
+    assert np.allclose(slope, [(plain(theta + d) - plain(theta - d)) / 2e-5 for d in step], atol=1e-6)
+    assert forest.likelihood(theta + 1e-3 * slope)[0] > value
+
+
 def test_marginals_equal_enumeration():
     page = html_text.parse("<div><p>a</p><nav>b c</nav></div>")
     model = html_text.Model({"t:nav": -1.0, "n:text": 0.3, "t:p": 0.5}, ((0.2, -0.3, -0.4, 0.6), (0.7, -0.9, -0.1, 0.5)))

@@ -6,15 +6,17 @@ parent and child share a potential for agreeing or not. Messages go up the tree
 which gives each node's exact marginal. Stretches likelier content than not are the page's text.
 
 The model is trained from labelled pages (html and the text that is right): a stretch is content if the text
-holds it, an element if most of its characters are. Common names of page parts come in as short made-up
-pages, so that parts the training pages lack, such as reader comments, are known too, and that a paragraph
-alone is no sign of an article; together they weigh three fifths of the labelled pages.
+holds it, an element if most of its characters are. Training climbs the trees' likelihood: the slope of every
+weight and pair potential is what the labels show of it less what the same messages expect. Common names of
+page parts come in as short made-up trees, so that parts the training pages lack, such as reader comments, are
+known too, and that a paragraph alone is no sign of an article; together they weigh three fifths of the
+labelled pages.
 
 Defined results: null, empty or text-free html gives an empty text; broken or cut-off markup is read as far
 as it goes, open elements end with the page; an element that is never read (buttons, drawings, the head) ends
 at its own end tag or that of a block around it, without an end tag at the next block, and a head at the first
-thing that can't be in one; pages of any length are read whole; repeated rows are extracted
-each; without labelled pages the made-up examples decide; extra columns are not looked at.
+thing that can't be in one; pages of any length are read whole, in time that grows with their length;
+of a labelled page with very many nodes the first are trained on; repeated rows are extracted each; without labelled pages the made-up examples decide; extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -22,9 +24,10 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from math import exp, log1p
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -56,9 +59,6 @@ NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 WORD = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 
-#: Longer pages and texts are not trained on.
-MAX_CHARS = 100_000
-
 #: Made-up examples: names of parts, as tag or in class and id, that are usually the article or usually not.
 #: Paragraphs and lesser headings occur in both, what they are in decides.
 USUALLY_CONTENT = "t:article t:main t:h1 c:article c:content c:post c:entry c:main c:story".split()
@@ -108,7 +108,9 @@ def _tags(source: str) -> tuple[list[tuple[int, int, str, bool, str]], set[int]]
 def parse(source: str | None) -> Page:
     page, source = Page(), source or ""
     stack: list[tuple[str, int]] = [("#page", 0)]  # open block elements and their nodes
+    places: dict[str, list[int]] = {}  # where in the stack elements of a name are
     hidden: list[tuple[str, bool, Counter]] = []  # open elements that are never read: has an end tag, tags open inside
+    hidden_names: Counter = Counter()
     parts: list[str] = []
     linked = 0
     in_link = False
@@ -134,14 +136,25 @@ def parse(source: str | None) -> Page:
             )
         linked = 0
 
+    def last(names: Iterable[str]) -> int:
+        """Place of the innermost open element with one of the names, 0 if none is open."""
+        return max((places[name][-1] for name in names if places.get(name)), default=0)
+
     def close_to(depth: int) -> None:
         flush()
+        for name, _ in stack[depth:]:
+            places[name].pop()
         del stack[depth:]
 
+    def unhide() -> str:
+        name = hidden.pop()[0]
+        hidden_names[name] -= 1
+        return name
+
     def ends_hidden(tag: str, closing: bool) -> bool:
         """Whether a tag that can be seen ends the innermost hidden element."""
         name, has_end, inner = hidden[-1]
-        around = closing and any(t == tag for t, _ in stack)
+        around = closing and last([tag]) > 0
         if name == "head":
             return around if closing else tag not in IN_HEAD
         if not has_end:
@@ -158,7 +171,7 @@ def parse(source: str | None) -> Page:
     tags, closed = _tags(source)
     for number, (begin, end, tag, closing, attributes) in enumerate(tags):
         if hidden and hidden[-1][0] == "head" and source[at:begin].strip():
-            hidden.pop()
+            unhide()
         if not hidden and begin > at:
             piece = source[at:begin]
             parts.append(piece)
@@ -170,18 +183,19 @@ def parse(source: str | None) -> Page:
         if tag in UNSEEN:
             if tag in RAW or attributes.endswith("/"):
                 continue
-            names = [name for name, _, _ in hidden]
             if closing:
-                if tag in names:
-                    del hidden[len(names) - 1 - names[::-1].index(tag) :]
+                while hidden_names[tag] and unhide() != tag:
+                    pass
                 continue
-            if names and (tag not in IN_HEAD if names[-1] == "head" else tag == names[-1] and tag in ("button", "select")):
-                hidden.pop()
+            inner = hidden[-1][0] if hidden else None
+            if inner and (tag not in IN_HEAD if inner == "head" else tag == inner and tag in ("button", "select")):
+                unhide()
             if not hidden or hidden[-1][0] == "head" or number in closed:
                 hidden.append((tag, number in closed, Counter()))
+                hidden_names[tag] += 1
             continue
         while hidden and ends_hidden(tag, closing):
-            hidden.pop()
+            unhide()
         if hidden:
             continue
         if tag == "br":
@@ -194,12 +208,7 @@ def parse(source: str | None) -> Page:
                 in_link = not closing
             continue
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    close_to(depth)
-                    break
-            else:
-                flush()
+            close_to(last([tag]) or len(stack))
             in_link = False
             continue
         flush()
@@ -208,18 +217,16 @@ def parse(source: str | None) -> Page:
             close_to(len(stack) - 1)
         if tag in CLOSES:
             ended, within = CLOSES[tag]
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] in ended.split():
-                    close_to(depth)
-                    break
-                if stack[depth][0] in within:
-                    break
-        if tag == "hr" or tag in ("html", "body") and any(t == tag for t, _ in stack):
+            depth = last(ended.split())
+            if depth > last(x for x in within if x not in ended.split()):
+                close_to(depth)
+        if tag == "hr" or tag in ("html", "body") and last([tag]):
             continue
         names = [w for g in NAMES.findall(attributes) for w in WORD.findall("".join(g).lower())]
         page.parent.append(stack[-1][1])
         page.text.append(None)
         page.features.append([f"t:{tag}", *(f"c:{w}" for w in dict.fromkeys(names))])
+        places.setdefault(tag, []).append(len(stack))
         stack.append((tag, len(page.parent) - 1))
     if at < n and (not hidden or hidden[-1][0] == "head"):
         parts.append(source[at:])
@@ -283,49 +290,114 @@ def _labels(page: Page, gold: str) -> list[int]:
     return label
 
 
-def train(labelled: list[tuple[str, str]], rounds: int = 300, ridge: float = 0.02) -> Model:
-    """Logistic weights of the nodes' features, then pair potentials from how often parents and children
-    agree beyond chance. Pages without a stretch of the right text teach nothing and are left out."""
-    nodes: list[tuple[list[str], int, float]] = []
-    counts = [Counter(), Counter()]
-    for source, gold in labelled:
-        page = parse(source)
-        label = _labels(page, gold)
-        if not any(x and t for x, t in zip(label, page.text)):
-            continue
-        for i in range(1, len(label)):
-            nodes.append((page.features[i], label[i], 1.0))
-            counts[page.text[i] is not None][label[page.parent[i]], label[i]] += 1
-    made_up = [(f, 1) for f in USUALLY_CONTENT] + [(f, 0) for f in USUALLY_NOT]
-    # Labelled pages show paragraphs as content enough, so there the made-up ones speak for the other parts.
-    whole, of_content = max(100.0, 0.6 * len(nodes)), 0.3 if nodes else 0.5
-    for name, kind in made_up:
-        each = of_content / len(USUALLY_CONTENT) if kind else (1 - of_content) / len(USUALLY_NOT)
-        importance_of_each = whole * each / 2
-        kept, _, word = name.partition(":")
-        open_, close = (f"<{word}>", f"</{word}>") if kept == "t" else (f'<div class="{word}">', "</div>")
-        page = parse(f"{open_}<p>{'some words of a reader or an author. ' * 2}</p><p>A few.</p>{close}")
-        for i in range(1, len(page.parent)):
-            nodes.append((page.features[i], kind, importance_of_each))
-            if page.parent[i]:
-                counts[page.text[i] is not None][kind, kind] += importance_of_each
-    names = {f: k for k, f in enumerate(dict.fromkeys(f for features, _, _ in nodes for f in features))}
-    row = np.concatenate([np.full(len(f), k) for k, (f, _, _) in enumerate(nodes)])
-    column = np.array([names[f] for features, _, _ in nodes for f in features])
-    y, importance = np.array([n[1] for n in nodes], float), np.array([n[2] for n in nodes])
-    w, slope = np.zeros(len(names)), np.zeros(len(names))
+class Tree(NamedTuple):
+    """A labelled tree to train on: parents (-1 at the root) come before children."""
+
+    parent: list[int]
+    features: list[list[str]]
+    is_text: list[bool]
+    label: list[bool]
+    importance: float = 1.0
+
+
+def labelled_tree(source: str | None, gold: str | None, max_nodes: int = 2000) -> Tree | None:
+    """The first ``max_nodes`` nodes of a page (labels are those of the whole page); none if nothing of the right
+    text is on it, such a page teaches nothing."""
+    page = parse(source)
+    label = _labels(page, gold or "")
+    if not any(x and t for x, t in zip(label, page.text)):
+        return None
+    is_text = [t is not None for t in page.text]
+    return Tree(page.parent[:max_nodes], page.features[:max_nodes], is_text[:max_nodes], [x > 0 for x in label[:max_nodes]])
+
+
+class Forest:
+    """Labelled trees side by side, for messages in all of them at once, a level at a time.
+
+    Parameters are the weights of ``names`` and then the pair potentials, four for elements and four for
+    stretches of text."""
+
+    def __init__(self, trees: list[Tree]):
+        begin = np.cumsum([0, *(len(t.parent) for t in trees)])
+        self.n = int(begin[-1])
+        self.parent = np.array([p + b if p >= 0 else -1 for t, b in zip(trees, begin) for p in t.parent], np.int64)
+        self.kind = np.array([k for t in trees for k in t.is_text], np.int64)
+        self.label = np.array([x for t in trees for x in t.label], np.int64)
+        self.importance = np.repeat([t.importance for t in trees], np.diff(begin))
+        features = [f for t in trees for f in t.features]
+        self.names = {f: k for k, f in enumerate(dict.fromkeys(f for few in features for f in few))}
+        self.row = np.repeat(np.arange(self.n), [len(few) for few in features])
+        self.column = np.array([self.names[f] for few in features for f in few], np.int64)
+        self.levels = [np.flatnonzero(self.parent < 0)]
+        place = np.full(self.n, -1)
+        place[self.levels[0]] = 0
+        while True:
+            below = np.flatnonzero((self.parent >= 0) & (place < 0) & (place[self.parent] == len(self.levels) - 1))
+            if not len(below):
+                break
+            place[below] = len(self.levels)
+            self.levels.append(below)
+
+    def likelihood(self, theta: np.ndarray) -> tuple[float, np.ndarray]:
+        """Log-likelihood of the labels and its slope: counts that the labels show less those expected."""
+        weights, pair = theta[:-8], theta[-8:].reshape(2, 4)
+        own = np.bincount(self.row, weights[self.column], self.n)
+        inward, up, constant = own.copy(), np.zeros(self.n), np.zeros(self.n)
+        for at in self.levels[:0:-1]:
+            nn, nc, cn, cc = pair[self.kind[at]].T
+            constant[at] = np.logaddexp(nn, nc + inward[at])
+            up[at] = np.logaddexp(cn, cc + inward[at]) - constant[at]
+            inward += np.bincount(self.parent[at], up[at], self.n)
+        roots, below = self.levels[0], np.flatnonzero(self.parent >= 0)
+        constant[roots] = np.logaddexp(0, inward[roots])
+        belief, rest = inward.copy(), np.zeros(self.n)
+        for at in self.levels[1:]:
+            nn, nc, cn, cc = pair[self.kind[at]].T
+            rest[at] = belief[self.parent[at]] - up[at]
+            belief[at] += np.logaddexp(nc, cc + rest[at]) - np.logaddexp(nn, cn + rest[at])
+        both = pair[self.kind[below]] + np.stack([0 * rest, inward, rest, rest + inward], axis=1)[below]
+        expected = np.exp(both - np.logaddexp.reduce(both, axis=1)[:, None])
+        state = 2 * self.label[self.parent[below]] + self.label[below]
+        value = self.importance @ (own * self.label - constant) + self.importance[below] @ pair[self.kind[below], state]
+        expected[np.arange(len(below)), state] -= 1
+        expected *= -self.importance[below, None]
+        of_nodes = self.importance * (self.label - np.exp(-np.logaddexp(0, -belief)))
+        of_pairs = [expected[self.kind[below] == k].sum(axis=0) for k in (0, 1)]
+        return float(value), np.concatenate([np.bincount(self.column, of_nodes[self.row], len(self.names)), *of_pairs])
+
+
+def made_up_trees(nodes: int) -> list[Tree]:
+    """A part of each usual name with a longer and a shorter paragraph in it, for training with ``nodes`` others.
+    Labelled pages show paragraphs as content enough, so there these speak for the other parts."""
+    whole, of_content = max(100.0, 0.6 * nodes), 0.3 if nodes else 0.5
+    trees = []
+    for names, kind, share in ((USUALLY_CONTENT, True, of_content), (USUALLY_NOT, False, 1 - of_content)):
+        for name in names:
+            of, _, word = name.partition(":")
+            begin, end = (f"<{word}>", f"</{word}>") if of == "t" else (f'<div class="{word}">', "</div>")
+            page = parse(f"{begin}<p>{'some words of a reader or an author. ' * 2}</p><p>A few.</p>{end}")
+            trees.append(
+                Tree(
+                    [p - 1 for p in page.parent[1:]],
+                    page.features[1:],
+                    [t is not None for t in page.text[1:]],
+                    [kind] * (len(page.parent) - 1),
+                    whole * share / len(names) / 2,
+                )
+            )
+    return trees
+
+
+def train(trees: list[Tree], rounds: int = 300, ridge: float = 0.02, made_up: bool = True) -> Model:
+    """Weights and pair potentials by climbing the trees' likelihood, less ``ridge`` times half their squares."""
+    forest = Forest(trees + (made_up_trees(sum(len(t.parent) for t in trees)) if made_up else []))
+    theta, squares = np.zeros(len(forest.names) + 8), np.zeros(len(forest.names) + 8)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[column], len(nodes)), -30, 30)))
-        g = np.bincount(column, (importance * (p - y))[row], len(names)) + ridge * w
-        slope += g * g
-        w -= 0.5 * g / np.sqrt(slope + 1e-9)
-    pair = []
-    for c in counts:
-        total = {(a, b): c[a, b] + (40.0 if a == b else 10.0) / (1 if sum(c.values()) == 0 else 10) for a in (0, 1) for b in (0, 1)}
-        n = sum(total.values())
-        parent, child = [sum(total[a, b] for b in (0, 1)) for a in (0, 1)], [sum(total[a, b] for a in (0, 1)) for b in (0, 1)]
-        pair.append(tuple(float(np.log(total[a, b] * n / (parent[a] * child[b]))) for a in (0, 1) for b in (0, 1)))
-    return Model({f: float(w[k]) for f, k in names.items()}, (pair[0], pair[1]))
+        slope = forest.likelihood(theta)[1] - ridge * theta
+        squares += slope * slope
+        theta += 0.5 * slope / np.sqrt(squares + 1e-9)
+    elements, stretches = theta[-8:].reshape(2, 4).tolist()
+    return Model({f: float(theta[k]) for f, k in forest.names.items()}, (tuple(elements), tuple(stretches)))
 
 
 def one_of_each(pages: DataFrame, max_pages: int, *others: str) -> DataFrame:
@@ -338,12 +410,23 @@ def one_of_each(pages: DataFrame, max_pages: int, *others: str) -> DataFrame:
     return rows.agg(F.min(F.struct("html", *others)).alias("x")).select("page_id", "x.*")
 
 
-def fit(labelled: DataFrame, max_training_rows: int = 300, max_chars: int = MAX_CHARS) -> Model:
-    """Train from rows (page_id, html, text), one of each of about ``max_training_rows`` page_ids at most, none
-    longer than ``max_chars``: they are what the driver gets."""
-    short = labelled.where((F.length("html") <= max_chars) & (F.length("text") <= max_chars))
-    rows = one_of_each(short, max_training_rows, "text").toArrow().to_pylist()
-    return train([(r["html"], r["text"]) for r in sorted(rows, key=lambda r: r["page_id"])])
+def fit(labelled: DataFrame, max_training_rows: int = 300, max_nodes: int = 2000) -> Model:
+    """Train from rows (page_id, html, text), one of each of about ``max_training_rows`` page_ids at most. Pages are
+    read in tasks; at most ``max_nodes`` nodes of each, in page order, are what the driver gets."""
+
+    def trees(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            for row in batch.to_pylist():
+                tree = labelled_tree(row["html"], row["text"], max_nodes)
+                if tree:
+                    yield pa.RecordBatch.from_pylist([{"page_id": row["page_id"], **tree._asdict()}], schema)
+
+    of_node = {"parent": pa.int32(), "features": pa.list_(pa.string()), "is_text": pa.bool_(), "label": pa.bool_()}
+    schema = pa.schema([("page_id", pa.int64()), *((k, pa.list_(t)) for k, t in of_node.items())])
+    rows = one_of_each(labelled, max_training_rows, "text").select(F.col("page_id").cast("long"), "html", "text")
+    found = rows.mapInArrow(trees, "page_id long, parent array<int>, features array<array<string>>, is_text array<boolean>, label array<boolean>")
+    found = sorted(found.toArrow().to_pylist(), key=lambda r: r["page_id"])
+    return train([Tree(*(r[k] for k in of_node)) for r in found])
 
 
 def extract_pages(pages: DataFrame, model: Model) -> DataFrame:

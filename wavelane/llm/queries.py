@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavelane.llm import bpe_rounds, conversations, html_text, mixing, multi_index, near_dedup, packing, periodic, quality_rules, repeats, toxicity, url_filter, warc
-from wavelane.llm.common import read
+from wavelane.llm.common import read, store
 
 # The mix of the registered query and of the pipeline. The tables have no domain: sources are dealt to three
 # by the last character of their name.
@@ -33,10 +33,10 @@ def labelled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages and their right text: the number at the end of a url's path names the document the page shows."""
     number = F.regexp_extract("url", r"^[^?#]*/([0-9]+)", 1).try_cast("long")
     pages = read(spark, sf_dir, "pages").select("page_id", "html", number.alias("doc_id"))
-    short = pages.where(F.col("doc_id").isNotNull() & (F.length("html") <= html_text.MAX_CHARS))
-    few = html_text.one_of_each(short, 300, "doc_id")
-    # About 300 rows at most, of at most MAX_CHARS characters: the bound of this broadcast.
-    return read(spark, sf_dir, "documents").select("doc_id", "text").join(F.broadcast(few), "doc_id")
+    few = store(html_text.one_of_each(pages.where("doc_id is not null and html is not null"), 300, "doc_id"), "html-few")
+    # About 300 short rows at most: the bound of this broadcast. Their html, of any length, is joined without one.
+    known = read(spark, sf_dir, "documents").select("doc_id", "text").join(F.broadcast(few.select("doc_id").distinct()), "doc_id", "left_semi")
+    return known.distinct().join(few, "doc_id")
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
