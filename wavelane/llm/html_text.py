@@ -208,8 +208,10 @@ def parse(source: str | None) -> Page:
                 in_link = not closing
             continue
         if closing:
-            close_to(last([tag]) or len(stack))
-            in_link = False
+            depth = last([tag])
+            if depth or tag == "p":  # other end tags of nothing are no break
+                close_to(depth or len(stack))
+                in_link = False
             continue
         flush()
         in_link = False
