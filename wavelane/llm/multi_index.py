@@ -9,8 +9,8 @@ centroids' inner products and the cells' radii bound what a row in them can scor
 so the result is the exact one on any table, with copies or without.
 
 Every row is indexed. Centroids are fitted on a bounded sample. Neighbouring cells share a block; a cell with
-many rows (one vector may be a third of the table) has several, and queries are dealt to parts too, so a
-group of rows that meet in a task is bounded on both sides.
+many rows (one vector may be a third of the table) has several. Queries go to the blocks they ask for, and a
+block has a copy for every ``BLOCK_QUERIES`` of them; a task holds one block and lets its queries pass.
 
 Defined results: vectors that are null, zero, of another length than most, or that hold null or non-finite
 components take no part; of rows with one id the least vector counts; a null id takes no part; equal scores
@@ -31,8 +31,10 @@ from pyspark.sql import functions as F
 
 from wavelane.llm.common import hashed_sample, store
 
-BLOCK_ROWS = (1024, 16_384)
+BLOCK_ROWS = (2048, 16_384)
 BLOCK_QUERIES = 20_000
+#: Vectors travel packed, in rows of about this many bytes: an Arrow batch of 10,000 rows stays near 80 MB.
+ROW_BYTES = 8192
 
 
 def centroids(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -128,6 +130,49 @@ class Bounds:
         return np.unique(self.block[~(most < score)[self.at]])
 
 
+PACKED = ["block", "part", "kind", "ids", "floors", "vectors"]
+
+
+class Repeated:
+    """Rows of a matrix taken by number, repeated only when they are asked for."""
+
+    def __init__(self, matrix: np.ndarray, who: np.ndarray):
+        self.matrix, self.who = matrix.astype(float), who
+
+    def __getitem__(self, places: np.ndarray) -> np.ndarray:
+        return self.matrix[self.who[places]]
+
+
+def turns(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A number below ``counts`` for each id, spread evenly."""
+    return (ids * 2654435761 % (1 << 32)) % counts
+
+
+def best_of_block(block: int, ids: np.ndarray, vectors: np.ndarray, asked: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int) -> pd.DataFrame:
+    """The ``k`` best rows of a block for each query, of those that reach its floor; with a floor of minus infinity
+    a query has a row even if nothing is found, which shows that it was here."""
+    rough = queries @ vectors.T
+    begun = floors == -np.inf
+    floor = floors.copy()
+    if len(ids) > k + 1 and begun.any():
+        floor[begun] = np.partition(rough[begun], -k - 1, axis=1)[:, -k - 1]
+    # The matrix product rounds differently from place to place: it picks, the sum decides.
+    floor -= 1e-9 * (1 + np.linalg.norm(queries, axis=1) * np.linalg.norm(vectors, axis=1).max())
+    q, v = np.nonzero(~(rough < floor[:, None]) & (ids != asked[:, None]))
+    scores = np.empty(len(q))
+    for at in range(0, len(q), 1 << 15):
+        few = slice(at, at + (1 << 15))
+        scores[few] = (vectors[v[few]] * queries[q[few]]).sum(axis=1)
+    order = np.lexsort((ids[v], -scores, q))
+    ends = np.searchsorted(q, np.arange(len(asked) + 1))
+    out = [
+        (query_id, block, ids[v[order[a : min(a + k, b)]]], scores[order[a : min(a + k, b)]])
+        for query_id, begins, a, b in zip(asked, begun, ends, ends[1:])
+        if begins or b > a
+    ]
+    return pd.DataFrame(out, columns=["query_id", "block", "ids", "scores"])
+
+
 def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
     """vec_id and vector (doubles) of the rows that take part, one per id."""
     x = F.col("vector")
@@ -182,67 +227,94 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, share: float = 0.05,
     blocks = blocks_of(sizes, int(np.clip(count // 64, *BLOCK_ROWS)))
     bounds = Bounds(index, cells, blocks)
     queries = placed.where(is_query).select("vec_id", "vector")
-    parts = max(1, -(-queries.count() // BLOCK_QUERIES))
-    probe = "block long, part long, query_id long, query array<double>, floor double"
-
-    def asked(batch: pd.DataFrame, chosen) -> Iterator[pd.DataFrame]:
-        """``chosen`` gives the blocks to look at and the score to reach, from a row of the batch."""
-        for at in range(0, len(batch), 100):
-            few = [(r, *chosen(r)) for r in batch.iloc[at : at + 100].itertuples()]
-            rows = [(b, r.vec_id % parts, r.vec_id, r.vector, floor) for r, looked_at, floor in few for b in looked_at]
-            if rows:
-                yield pd.DataFrame(rows, columns=["block", "part", "query_id", "query", "floor"])
+    per_row = max(1, ROW_BYTES // (8 * index.dimension))
+    ask = "vec_id long, floor double, blocks array<long>"
+    packed = "block long, part long, kind int, ids array<long>, floors array<double>, vectors binary"
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def chosen(r) -> tuple[list[int], float]:
-            walked = walk(*index.distances(np.asarray(r.vector)), sizes, wanted)
-            return sorted({b for c in walked for b in blocks[c]}), -np.inf
-
         for batch in batches:
-            yield from asked(batch, chosen)
+            walks = [walk(*index.distances(np.asarray(x)), sizes, wanted) for x in batch["vector"]]
+            looked_at = [sorted({b for c in cells for b in blocks[c]}) for cells in walks]
+            yield pd.DataFrame({"vec_id": batch["vec_id"], "floor": -np.inf, "blocks": looked_at})
 
     def second(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def chosen(r) -> tuple[list[int], float]:
-            return np.setdiff1d(bounds.blocks(np.asarray(r.vector), r.floor), r.seen).tolist(), r.floor
-
-        for batch in batches:
-            yield from asked(batch, chosen)
-
-    def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
+            asked = zip(batch["vector"], batch["floor"], batch["seen"])
+            batch["blocks"] = [np.setdiff1d(bounds.blocks(np.asarray(x), floor), seen) for x, floor, seen in asked]
+            yield batch[["vec_id", "floor", "blocks"]]
+
+    def found(asks: DataFrame) -> DataFrame:
+        """The ``k`` best of every block for each query that asks for it, of those that reach its floor."""
+        asks = store(asks, "ann-asks")
+        # A row for each block.
+        counts = asks.select(F.explode("blocks").alias("block")).groupBy("block").count().collect()
+        parts = {r["block"]: -(-r["count"] // BLOCK_QUERIES) for r in counts}
+
+        def rows_of(kind: int, block, part, ids, floors, matrix) -> Iterator[pd.DataFrame]:
+            order = np.lexsort((part, block))
+            block, part = block[order], part[order]
+            new = np.flatnonzero((block[1:] != block[:-1]) | (part[1:] != part[:-1])) + 1
+            out = []
+            for begin, stop in zip([0, *new], [*new, len(block)]):
+                for at in range(begin, stop, per_row):
+                    few = order[at : min(at + per_row, stop)]
+                    out.append((block[at], part[at], kind, ids[few], floors[few], matrix[few].tobytes()))
+                    if len(out) == 1000:
+                        yield pd.DataFrame(out, columns=PACKED)
+                        out = []
+            if out:
+                yield pd.DataFrame(out, columns=PACKED)
+
+        def asking(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for at in range(0, len(batch), 500):
+                    few = batch.iloc[at : at + 500]
+                    who = np.repeat(np.arange(len(few)), few["blocks"].map(len))
+                    if len(who):
+                        block = np.concatenate(few["blocks"].to_list())
+                        ids = few["vec_id"].to_numpy()
+                        part = turns(ids[who], np.array([parts[b] for b in block.tolist()]))
+                        # Only numbers are repeated here, vectors as each row is packed.
+                        yield from rows_of(1, block, part, ids[who], few["floor"].to_numpy()[who], Repeated(np.stack(few["vector"]), who))
+
+        def holding(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if not len(batch):
+                    continue
                 own = [blocks[c] for c in batch["cell"]]
-                turn = (batch["vec_id"].to_numpy() * 2654435761 % (1 << 32)) % np.array([len(b) for b in own])
-                batch["block"] = np.array([b[0] for b in own]) + turn
-                yield batch[["vec_id", "vector", "block"]]
-
-    entries = placed.mapInPandas(dealt, "vec_id long, vector array<double>, block long").withColumn(
-        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
-    )
-
-    def rerank(group: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(group) and len(asked):
-            ids, vectors = group["vec_id"].to_numpy(), np.stack(group["vector"])
-            block, reach = group["block"].iloc[0], np.linalg.norm(vectors, axis=1).max()
-            for at in range(0, len(asked), 256):
-                part = asked.iloc[at : at + 256]
-                rough = np.stack(part["query"]) @ vectors.T
-                for query_id, query, floor, about in zip(part["query_id"], part["query"], part["floor"], rough):
-                    # The matrix product rounds differently from place to place: it picks, the sum decides.
-                    if floor == -np.inf and len(about) > k + 1:
-                        floor = np.partition(about, -k - 1)[-k - 1]
-                    near = np.flatnonzero(~(about < floor - 1e-9 * (1 + np.linalg.norm(query) * reach)) & (ids != query_id))
-                    scores = (vectors[near] * query).sum(axis=1)
-                    best = np.lexsort((ids[near], -scores))[:k]
-                    out.append((query_id, block, ids[near][best], scores[best]))
-        return pd.DataFrame(out, columns=["query_id", "block", "ids", "scores"])
-
-    def found(probes: DataFrame) -> DataFrame:
-        keys = ["block", "part"]
-        return entries.groupBy(*keys).cogroup(probes.groupBy(*keys)).applyInPandas(
-            rerank, "query_id long, block long, ids array<long>, scores array<double>"
-        )
+                block = np.array([b[0] for b in own]) + turns(batch["vec_id"].to_numpy(), np.array([len(b) for b in own]))
+                copies = np.array([parts.get(b, 0) for b in block.tolist()])
+                who = np.repeat(np.arange(len(batch)), copies)
+                if len(who):
+                    part = np.arange(len(who)) - np.repeat(np.cumsum(copies) - copies, copies)
+                    vectors = Repeated(np.stack(batch["vector"]), who)
+                    yield from rows_of(0, block[who], part, batch["vec_id"].to_numpy()[who], np.zeros(len(who)), vectors)
+
+        def rerank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            key, ids, vectors = None, [], []
+            for batch in batches:
+                marks = batch[["block", "part", "kind"]].to_numpy()
+                new = (np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1).tolist()
+                for begin, stop in zip([0, *new], [*new, len(batch)] if len(batch) else []):
+                    block, part, kind = marks[begin].tolist()
+                    rows = batch.iloc[begin:stop]
+                    numbers = np.concatenate(rows["ids"].to_list())
+                    matrix = np.frombuffer(b"".join(rows["vectors"])).reshape(len(numbers), index.dimension)
+                    if key != (block, part):
+                        key, ids, vectors = (block, part), [], []
+                    if not kind:
+                        ids.append(numbers)
+                        vectors.append(matrix)
+                        continue
+                    ids, vectors = [np.concatenate(ids)], [np.concatenate(vectors)]
+                    floors = np.concatenate(rows["floors"].to_list())
+                    for at in range(0, len(numbers), 256):
+                        few = slice(at, at + 256)
+                        yield best_of_block(block, ids[0], vectors[0], numbers[few], matrix[few], floors[few], k)
+
+        both = placed.mapInPandas(holding, packed).union(queries.join(asks, "vec_id").mapInPandas(asking, packed))
+        together = both.repartition(max(1, min(sum(parts.values()), 20_000)), "block", "part").sortWithinPartitions("block", "part", "kind")
+        return together.mapInPandas(rerank, "query_id long, block long, ids array<long>, scores array<double>")
 
     def merged(lists: DataFrame) -> DataFrame:
         """A query's lists are one per block it looked at, each at most k long."""
@@ -250,9 +322,9 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, share: float = 0.05,
         best = F.slice(F.array_sort(F.flatten(F.collect_list("x"))), 1, k)
         return zipped.groupBy("query_id").agg(best.alias("x"), F.collect_list("block").alias("seen"))
 
-    near = store(found(queries.mapInPandas(first, probe)), "ann-near")
+    near = store(found(queries.mapInPandas(first, ask)), "ann-near")
     floor = F.when(F.size("x") >= k, -F.col("x")[k - 1]["far"]).otherwise(F.lit(float("-inf")))
     begun = merged(near).select(F.col("query_id").alias("vec_id"), floor.alias("floor"), "seen")
-    rest = found(queries.join(begun, "vec_id").mapInPandas(second, probe)).where(F.size("ids") > 0)
+    rest = found(queries.join(begun, "vec_id").mapInPandas(second, ask))
     ranked = merged(near.unionByName(rest)).select("query_id", F.posexplode("x").alias("at", "x"))
     return ranked.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.id").alias("vec_id"), (-F.col("x.far")).alias("score"))
