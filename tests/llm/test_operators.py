@@ -338,6 +338,17 @@ def test_nearest_neighbours_beside_many_copies(spark):
     check_nearest(multi_index.search(table, multi_index.F.col("vec_id") % 20 == 0), np.arange(3000), x)
 
 
+def test_blocks_with_many_queries_have_copies_and_extra_names_do_not_clash(spark, monkeypatch):
+    monkeypatch.setattr(multi_index, "BLOCK_QUERIES", 30)
+    monkeypatch.setattr(multi_index, "BLOCK_ROWS", (200, 200))
+    monkeypatch.setattr(multi_index, "ROW_BYTES", 300)
+    x = np.random.default_rng(6).integers(-2, 3, size=(2400, 8)).astype(float)
+    x[:, 0] = 1.0
+    rows = [(k, v.tolist(), "c", 1, 2, b"x") for k, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, cell string, block int, part int, vectors binary")
+    check_nearest(multi_index.search(table, multi_index.F.col("vec_id") % 20 == 0), np.arange(2400), x)
+
+
 def test_html_text_of_odd_pages(spark):
     page = "<html><body><nav><a>menu</a></nav><article><h1>Title &amp; more</h1><p>First  paragraph of\n the article.<p>Second &lt;one&gt;.</article><div class='comments'><p>Nice!</p></div><footer>foot</footer>"
     rows = [(1, "u", page), (1, "u", page), (2, None, None), (3, "", ""), (4, "x", "<p"), (5, "y", "<script>only"), (None, "z", "plain text that is not marked up at all.")]
