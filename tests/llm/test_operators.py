@@ -12,6 +12,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wavelane.llm import common, html_text, mixing, multi_index, near_dedup, packing, quality_rules, repeats, toxicity, url_filter, warc
@@ -194,6 +195,23 @@ def test_cuts_keep_replacement_characters_of_the_text(spark):
     assert found == {1: own + " tail \ufffd", 2: " more", 3: "none \ufffd here"}
 
 
+def test_copies_of_a_row_list_each_repeated_anchor_once(spark, monkeypatch):
+    stored = {}
+
+    def keep(df, purpose):
+        stored[purpose] = common.store(df, purpose)
+        return stored[purpose]
+
+    monkeypatch.setattr(repeats, "store", keep)
+    text = made_up(9, 80) + made_up(10, 80)
+    rows = [(7, text)] * 40 + [(8, "other " + text)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = rows_of(repeats.remove_repeats(table, ["doc_id"]).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
+    assert sorted((tuple(r.values()) for r in found), key=str) == cut_by_hand(rows_of(table))
+    lists = rows_of(stored["repeat-texts"].select("doc", F.size("whole").alias("n"), F.size(F.array_distinct("whole")).alias("distinct")))
+    assert lists and all(r["n"] == r["distinct"] for r in lists)
+
+
 def test_written_intermediates_go_once_they_are_used(spark, odd_docs, tmp_path, monkeypatch):
     monkeypatch.setattr(common, "shared_dir", lambda spark, purpose: f"{tmp_path}/{purpose}-{uuid.uuid4().hex}")
     single = near_dedup.without_duplicates(odd_docs)

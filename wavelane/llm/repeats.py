@@ -392,7 +392,8 @@ def remove_repeats(docs: DataFrame, carry: list[str], keep_bytes: bool = False)
         repeated.groupBy("key", "around").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "version", "at")).alias("first")),
         "repeat-classes",
     )
-    whole = repeated.join(classes.where("n > 1").select("key", "around"), ["key", "around"]).select("doc", "version", "at")
+    # Copies of a row (one doc, one text) have their anchors at the same places: each place once per text.
+    whole = repeated.join(classes.where("n > 1").select("key", "around"), ["key", "around"]).select("doc", "version", "at").distinct()
     several = classes.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least")).where("m > 1 and least = 1")
     pieces = classes.join(several, "key").select("first.*", "key", (F.col("m") > HOT).alias("hot"), (F.col("n") == 1).alias("alone"))
     orders = whole.withColumns({"key": F.lit(None).cast("long"), "hot": F.lit(None).cast("boolean"), "alone": F.lit(None).cast("boolean")}).unionByName(pieces)
