@@ -2,8 +2,10 @@
 
 import json
 import os
+import random
 import statistics
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from wavelane.operators.features import window_features
 from wavelane.operators.readings import parse_messages
 from wavelane.operators.series import find_gaps
 from wavelane.sources.messages import file_messages
+from wavelane.streaming import watch
 from wavelane.streaming.monitor import read_output
 from wavelane.streaming.watch import WatchPaths, WindowWatch, read_gaps, read_late_rows, start_watch
 
@@ -114,3 +117,136 @@ def test_figures_merge():
     start, n, mean, m2, low, high, spikes = held
     assert (start, n, low, high, spikes) == (7, 7, -6.5, 1e6, 3)
     assert abs(mean - statistics.mean(known)) < 1e-6 and abs((m2 / (n - 1)) ** 0.5 - statistics.stdev(known)) < 1e-4
+
+
+class Page:
+    """State and timers of one page, as Spark would keep them, and a count of the calls."""
+
+    def __init__(self, silence=0):
+        self.watch, self.held, self.timers, self.calls, self.watermark = WindowWatch(50.0, silence), None, set(), 0, 0
+        self.watch.init(self)
+
+    def getValueState(self, *_):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.held
+
+    def update(self, value):
+        self.calls += 1
+        self.held = value
+
+    def registerTimer(self, time):
+        self.calls += 1
+        self.timers.add(time)
+
+    def deleteTimer(self, time):
+        self.calls += 1
+        self.timers.remove(time)
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+    def batch(self, rows, watermark, cut=7):
+        """rows: (patient, channel, end_ms, voltage) of windows of 10 ms; they come ``cut`` at a time."""
+        self.watermark, frames = watermark, []
+        columns = ["patient_id", "channel", "end_ms", "voltage", "start_ms", "event_us", "timestamp_ms", "sample_index"]
+        given = [(*row, row[2] - 10, 1000 * row[2] - 1, row[2] - 1, n) for n, row in enumerate(rows)]
+        parts = [pd.DataFrame(given[n : n + cut], columns=columns).astype({"voltage": float}) for n in range(0, len(given), cut)]
+        if rows:
+            frames += self.watch.handleInputRows((0,), iter(parts), self)
+        for time in sorted(t for t in self.timers if t <= watermark):
+            frames += self.watch.handleExpiredTimer((0,), self, None)
+            self.timers.remove(time)
+        return [row for frame in frames for row in frame.astype(object).where(frame.notna(), None).to_dict("records")]
+
+
+def test_a_page_is_read_and_written_once_a_batch_however_many_windows_it_has():
+    page = Page(silence=1000)
+    rows = [(f"p{p}", "A", 10 + 10 * w, float(w)) for p in range(300) for w in range(6)]
+    assert page.batch(rows, 0, cut=500) == []
+    assert page.calls <= 4 and page.timers == {10}
+    assert len(page.batch([], 40)) == 300 * 4
+    assert page.calls <= 8 and page.timers == {50}
+
+
+def test_a_page_gives_what_each_series_alone_gives():
+    """Rows of several series in random batches, against a list for each series."""
+    rng = random.Random(5)
+    names, silence = [("p1", "A"), ("p1", "B"), ("p2", "A"), (None, "A"), ("p1", None)], 70
+    page, watermark, got, want = Page(silence), 0, [], []
+    windows, closed, newest, told = {}, {}, {}, set()
+    for batch in range(120):
+        places = [(rng.choice(names), 10 * rng.randint(max(1, batch - 4), batch + 4)) for _ in range(rng.randint(0, 12)) if not 40 < batch < 60]
+        rows = [(*series, end, rng.choice([None, 60.0, -70.5, rng.uniform(-40, 40)])) for series, end in places]
+        got += page.batch(rows, watermark)
+        for *series, end, volts in rows:
+            series = tuple(series)
+            if end <= watermark:
+                want.append(("late", *series, end - 10, end, volts))
+                continue
+            windows.setdefault((end, *map(str, series)), (series, []))[1].append(volts)
+            if end > newest.get(series, 0):
+                newest[series] = end
+                told.discard(series)
+        for key in sorted(k for k in windows if k[0] <= watermark):
+            series, volts = windows.pop(key)
+            volts, start = [v for v in volts if v is not None], key[0] - 10
+            mean, spread = (statistics.mean(volts) if volts else None), (statistics.stdev(volts) if len(volts) > 1 else None)
+            spikes = sum(abs(v) > 50 for v in volts)
+            want.append(("feature", *series, start, key[0], mean, spread, min(volts, default=None), max(volts, default=None), spikes))
+            if closed.get(series, start) != start:
+                want.append(("gap", *series, start, closed[series]))
+            closed[series] = key[0]
+        for series in newest:
+            if newest[series] + silence <= watermark and series not in told:
+                want.append(("silent", *series, newest[series]))
+                told.add(series)
+        watermark = max([watermark, *(end - 15 for _, end in places)]) + (10 if 40 < batch < 60 else 0)
+        assert page.timers == ({min([k[0] for k in windows] + [newest[s] + silence for s in newest if s not in told])} if len(told) < len(newest) or windows else set())
+    shown = {
+        "late": ("start_ms", "end_ms", "voltage"),
+        "feature": ("start_ms", "end_ms", "mean_v", "stddev_v", "min_v", "max_v", "spike_count"),
+        "gap": ("start_ms", "prev_end_ms"),
+        "silent": ("prev_end_ms",),
+    }
+    got = [(r["kind"], r["patient_id"], r["channel"], *(r[c] for c in shown[r["kind"]])) for r in got]
+
+    def lines(rows):
+        return sorted(str(tuple(round(v, 6) if isinstance(v, float) else v for v in row)) for row in rows)
+
+    assert lines(got) == lines(want)
+    assert {row[0] for row in want} == set(shown)
+
+
+def test_series_may_share_a_page(spark, tmp_path, monkeypatch):
+    """All series in one page: readings, windows, gaps and silences are those of many pages."""
+    found = []
+    for pages in (1, watch.PAGES):
+        monkeypatch.setattr(watch, "PAGES", pages)
+        folder = tmp_path / str(pages)
+        folder.mkdir()
+        feed = Feed(spark, folder, silence=15)
+        feed.land(*[(p, s + n, {"A": s - 6.0, "B": None if s % 3 else 7.0}) for n, p in enumerate(("p1", "p2", "p3", None)) for s in range(0, 16, 2)])
+        feed.land(("p1", 33.0, {"A": 1.0, "B": 2.0}), (None, 31.0, {"A": 3.0}), ("p2", 3.0, {"B": 9.0}))
+        feed.run()
+        feed.land(("p2", 4.0, {"A": 9.0}), ("p1", 60.0, {"A": 1.0}))
+        feed.run()
+        found.append({name: sorted(str(r.asDict()) for r in feed.table(name).drop("batch_id").collect()) for name in ("features", "alerts", "late", "gaps")})
+        assert len(found[-1]["late"]) == 2
+    assert found[0] == found[1]
+    assert all(found[0].values())
+
+
+def test_many_windows_take_few_timers_and_state_rows(spark, tmp_path):
+    """40 series with 25 windows each: Spark counts a timer and a value for a page, not for a window."""
+    feed = Feed(spark, tmp_path, silence=20)
+    feed.land(*[(f"p{p}", 5.0 * w + 1, {"A": float(w)}) for p in range(40) for w in range(25)])
+    stream = file_messages(spark, f"{tmp_path}/in", "text", "value string")
+    query = start_watch(stream, feed.paths, f"{tmp_path}/state", PARAMS, 20, state_partitions=2, drain=True)
+    query.awaitTermination()
+    (first, *_) = [p["stateOperators"][0] for p in query.recentProgress if p["numInputRows"]]
+    assert 0 < first["customMetrics"]["numRegisteredTimers"] <= 40
+    assert 0 < first["numRowsUpdated"] <= 4 * 40
+    assert feed.table("features").count() == 40 * 23

@@ -6,6 +6,9 @@ whose window has closed to a table of their own: what is on time and what is lat
 sees, as windows close in order, where one does not begin at the end of the one before, and which series have
 had no rows for a given time.
 
+A call from Python to the state takes some tenths of a millisecond, and a frame longer, so series are dealt by
+hash to pages: a batch reads and writes the state of a page once, however many windows and series it has.
+
 Spark filters late rows by the watermark column before a stateful operator gets them, so that column is null on
 every reading. A second row for each reading carries the time past the watermark operator and goes no further;
 it is neither shuffled nor seen by Python.
@@ -14,10 +17,13 @@ it is neither shuffled nor seen by Python.
 from __future__ import annotations
 
 import math
+import pickle
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
+import numpy as np
 import pandas as pd
 from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -40,77 +46,129 @@ OUTPUT = (
 NAMES = [column.split()[0] for column in OUTPUT.split(", ")]
 INTEGERS = {column.split()[0] for column in OUTPUT.split(", ") if column.split()[1] in ("long", "int")}
 
+# How many pages series are dealt to. Checkpoints hold pages, so it must not change between starts.
+PAGES = 1024
+
 
 class WindowWatch(StatefulProcessor):
-    """Open windows of one series by their end: (start, non-null voltages, mean, squared deviations, extremes,
-    spikes). ``silence_ms`` 0 raises no silence."""
+    """The series of one page, by patient and channel. Each has the end of the last window that closed, the end of
+    the latest with rows, whether its silence since then is told, and its open windows by their end: (start,
+    non-null voltages, mean, squared deviations, extremes, spikes). ``silence_ms`` 0 raises no silence.
+
+    A page is one value of plain types, pickled, and has one timer: for what is due first."""
 
     def __init__(self, spike_volts: float, silence_ms: int) -> None:
         self.spike_volts, self.silence_ms = spike_volts, silence_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        window = "start_ms long, n long, mean double, m2 double, low double, high double, spikes long"
-        self.open = handle.getMapState("open", "end_ms long", window)
-        self.closed = handle.getValueState("closed", "end_ms long")  # the last window that closed
-        self.newest = handle.getValueState("newest", "end_ms long")  # the latest window with rows
+        self.page = handle.getValueState("page", "series binary, due_ms long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        before = newest = self.newest.get()[0] if self.newest.exists() else None
+        page, due = {}, None
+        read = False
         for frame in rows:
             late = frame["end_ms"] <= watermark
             if late.any():
-                yield self._frame("late", key, frame[late])
-            for end, part in frame[~late].groupby("end_ms"):
-                end = int(end)
-                held = self.open.getValue((end,)) if self.open.containsKey((end,)) else None
-                self.open.updateValue((end,), self._merged(held, part))
-                if held is None:
-                    self.handle.registerTimer(end)
-                newest = end if newest is None else max(newest, end)
-        if newest != before:
-            self.newest.update((newest,))
-            if self.silence_ms:
-                if before is not None and not self.open.containsKey((before + self.silence_ms,)):
-                    self.handle.deleteTimer(before + self.silence_ms)
-                self.handle.registerTimer(newest + self.silence_ms)
+                yield self._frame(frame[late].assign(kind="late"))
+            if late.all():
+                continue
+            if not read:
+                page, due = self._read()
+                read = True
+            for series, end, start, figures in self._windows(frame[~late]):
+                closed, newest, told, windows = page.get(series) or (None, end, False, {})
+                windows[end] = self._joined(windows.get(end), start, figures)
+                page[series] = (closed, max(newest, end), told and newest >= end, windows)
+        if read:
+            self._store(page, due)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        end = expiredTimerInfo.getExpiryTimeInMs()
-        if self.open.containsKey((end,)):
-            start, n, mean, m2, low, high, spikes = self.open.getValue((end,))
-            self.open.removeKey((end,))
-            spread = math.sqrt(m2 / (n - 1)) if n > 1 else None
-            known = (mean, spread, low, high) if n else (None,) * 4
-            row = dict(zip(("mean_v", "stddev_v", "min_v", "max_v"), known)) | {"start_ms": start, "end_ms": end, "spike_count": spikes}
-            yield self._frame("feature", key, pd.DataFrame([row]))
-            last = self.closed.get()[0] if self.closed.exists() else None
-            if last is not None and last != start:
-                yield self._frame("gap", key, pd.DataFrame([{"start_ms": start, "prev_end_ms": last}]))
-            self.closed.update((end,))
-        if self.silence_ms and self.newest.exists() and self.newest.get()[0] + self.silence_ms == end:
-            yield self._frame("silent", key, pd.DataFrame([{"prev_end_ms": end - self.silence_ms}]))
+        watermark = timerValues.getCurrentWatermarkInMs()
+        page, _ = self._read()
+        rows = []
+        for series, (closed, newest, told, windows) in page.items():
+            for end in sorted(end for end in windows if end <= watermark):
+                start, n, mean, m2, low, high, spikes = windows.pop(end)
+                spread = math.sqrt(m2 / (n - 1)) if n > 1 else None
+                known = (mean, spread, low, high) if n else (None,) * 4
+                rows.append(("feature", *series, start, end, *known, spikes, None))
+                if closed is not None and closed != start:
+                    rows.append(("gap", *series, start, *(None,) * 6, closed))
+                closed = end
+            if self.silence_ms and not told and newest + self.silence_ms <= watermark:
+                rows.append(("silent", *series, *(None,) * 7, newest))
+                told = True
+            page[series] = (closed, newest, told, windows)
+        self._store(page, None)  # Spark removes the timer that has expired
+        if rows:
+            yield self._frame(pd.DataFrame(rows, columns=[*NAMES[:10], NAMES[-1]]))
 
     def close(self) -> None: ...
 
-    def _merged(self, held: tuple | None, part: pd.DataFrame) -> tuple:
-        """A window's figures with more rows; a null voltage adds nothing."""
-        volts = part["voltage"].dropna()
-        start, n, mean, m2, low, high, spikes = held or (int(part["start_ms"].iloc[0]), 0, 0.0, 0.0, None, None, 0)
-        if len(volts):
-            more, its_mean = len(volts), float(volts.mean())
+    def _read(self) -> tuple[dict, int | None]:
+        """The page's series and the time of its timer."""
+        held = self.page.get()
+        return (pickle.loads(held[0]), held[1]) if held else ({}, None)
+
+    def _store(self, page: dict, due: int | None) -> None:
+        """Keep the page, and move its timer from ``due`` to what is due first now."""
+        ends = (end for _, _, _, windows in page.values() for end in windows)
+        silences = (newest + self.silence_ms for _, newest, told, _ in page.values() if self.silence_ms and not told)
+        first = min(chain(ends, silences), default=None)
+        if first != due:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            if first is not None:
+                self.handle.registerTimer(first)
+        self.page.update((pickle.dumps(page), first))
+
+    def _windows(self, rows: pd.DataFrame) -> Iterator[tuple]:
+        """Series, end, start and figures of each window that has rows."""
+        place = rows.groupby(["patient_id", "channel", "end_ms"], dropna=False, sort=False).ngroup().to_numpy()
+        order = np.argsort(place, kind="stable")
+        rows, firsts = rows.iloc[order], np.flatnonzero(np.diff(place[order], prepend=-1))
+        heads = rows.iloc[firsts]
+        series = zip(*([name if isinstance(name, str) else None for name in heads[c]] for c in ("patient_id", "channel")))
+        times = (heads[c].astype("int64").tolist() for c in ("end_ms", "start_ms"))
+        return zip(series, *times, self._figures(rows["voltage"], firsts))
+
+    def _figures(self, voltage: pd.Series, firsts: np.ndarray) -> Iterator[tuple]:
+        """Number, mean, squared deviations, extremes and spikes of each stretch of rows that begins at one of
+        ``firsts``; a null voltage adds nothing."""
+        volts = voltage.to_numpy("float64")
+        known = ~np.isnan(volts)
+        n = np.add.reduceat(known.astype("int64"), firsts)
+        with np.errstate(invalid="ignore"):  # an infinite voltage has no deviation
+            mean = np.add.reduceat(np.where(known, volts, 0), firsts) / np.maximum(n, 1)
+            apart = np.where(known, volts - np.repeat(mean, np.diff(firsts, append=len(volts))), 0)
+        m2 = np.add.reduceat(apart * apart, firsts)
+        low = np.minimum.reduceat(np.where(known, volts, math.inf), firsts)
+        high = np.maximum.reduceat(np.where(known, volts, -math.inf), firsts)
+        spikes = np.add.reduceat((np.abs(volts) > self.spike_volts).astype("int64"), firsts)
+        return zip(*(figure.tolist() for figure in (n, mean, m2, low, high, spikes)))
+
+    def _joined(self, held: tuple | None, start: int, figures: tuple) -> tuple:
+        """A window's figures with those of more rows."""
+        more, its_mean, its_m2, its_low, its_high, its_spikes = figures
+        if held is None:
+            return start, *figures
+        start, n, mean, m2, low, high, spikes = held
+        if more:
             total, apart = n + more, its_mean - mean
-            m2 += float(((volts - its_mean) ** 2).sum()) + apart * apart * n * more / total
+            m2 += its_m2 + apart * apart * n * more / total
             mean += apart * more / total
-            low = min(float(volts.min()), low if n else math.inf)
-            high = max(float(volts.max()), high if n else -math.inf)
-            n, spikes = total, spikes + int((volts.abs() > self.spike_volts).sum())
-        return start, n, mean, m2, low, high, spikes
+            n, low, high = total, min(its_low, low), max(its_high, high)
+        return start, n, mean, m2, low, high, spikes + its_spikes
+
+    def _merged(self, held: tuple | None, part: pd.DataFrame) -> tuple:
+        """A window's figures with more rows of it."""
+        (figures,) = self._figures(part["voltage"], np.array([0]))
+        return self._joined(held, int(part["start_ms"].iloc[0]), figures)
 
-    def _frame(self, kind: str, key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.assign(kind=kind, patient_id=key[0], channel=key[1]).reindex(columns=NAMES)
-        return rows.astype({c: "Int64" if c in INTEGERS else "float64" for c in NAMES[3:]})
+    def _frame(self, rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.reindex(columns=NAMES).astype({c: "Int64" if c in INTEGERS else "float64" for c in NAMES[3:]})
 
 
 def watched(messages: DataFrame, params: MonitorParams, silence_seconds: int = 0) -> DataFrame:
@@ -118,6 +176,7 @@ def watched(messages: DataFrame, params: MonitorParams, silence_seconds: int = 0
     ended (``gap``) and series without rows for ``silence_seconds`` (``silent``) of a message stream."""
     window = F.window("event_time", params.window)
     readings = parse_messages(messages).select(
+        F.pmod(F.xxhash64("patient_id", "channel"), F.lit(PAGES)).cast("int").alias("page"),
         "patient_id",
         "channel",
         "timestamp_ms",
@@ -133,7 +192,7 @@ def watched(messages: DataFrame, params: MonitorParams, silence_seconds: int = 0
     # The filter is on the watermark's column, so it stays behind the watermark.
     told = clocked.withWatermark("clock", params.watermark).where(F.col("clock").isNull())
     watch = WindowWatch(params.spike_volts, silence_seconds * 1000)
-    return told.groupBy("patient_id", "channel").transformWithStateInPandas(watch, OUTPUT, "append", "EventTime")
+    return told.groupBy("page").transformWithStateInPandas(watch, OUTPUT, "append", "EventTime")
 
 
 @dataclass(frozen=True)
