@@ -171,6 +171,14 @@ def test_a_page_is_read_and_written_once_a_batch_however_many_windows_it_has():
     assert page.calls <= 8 and page.timers == {50}
 
 
+def test_late_rows_of_a_page_need_no_state():
+    page = Page()
+    rows = [(f"p{p}", None if p % 5 == 0 else "A", 10 * end, None if end == 3 else float(p)) for p in range(200) for end in range(1, 6)]
+    late = page.batch(rows, 50, cut=500)
+    assert page.calls == 0 and not page.timers
+    assert [(r["kind"], r["patient_id"], r["channel"], r["end_ms"], r["voltage"]) for r in late] == [("late", *row) for row in rows]
+
+
 def test_a_page_gives_what_each_series_alone_gives():
     """Rows of several series in random batches, against a list for each series."""
     rng = random.Random(5)
